@@ -126,73 +126,87 @@ def search_activity(search_log: DataFrame, limit: int = rules.SEARCH_DAY_LIMIT)
     return days.withColumn("SearchActive", activity_tier(F.col("SearchDays"), limit, inclusive=True))
 
 
-def search_profile(
-    search_log: DataFrame, patterns: Mapping[str, str] = rules.KEYWORD_PATTERNS
-) -> DataFrame:
-    """One profile row per user, from one scan and without a join.
+def _numbers(search_log: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
+    """The counting columns of the profile: all state is whole numbers, so both steps hash."""
+    counts = (
+        search_log.groupingSets(
+            [["user_id", "keyword"], ["user_id", "Date"]], "user_id", "keyword", "Date"
+        )
+        .agg(
+            (F.grouping("keyword") == 0).alias("by_keyword"),
+            F.count("*").alias("n"),
+            F.count("eventID").alias("searches"),
+            F.count_if(_is("enter")).alias("enters"),
+            F.count_if(_is("quit")).alias("quits"),
+        )
+        .transform(classify_keyword, patterns)
+    )
+    by_keyword = F.col("by_keyword")
 
-    Step 1 counts events per user and keyword, day, platform, provider and plan in one
-    grouping-sets aggregate; step 2 folds those counts per user. All state is of fixed size and
-    both steps combine on the map side, so a hot user or value does not end up in one task.
-    Keywords are classified after step 1, once per user and keyword instead of once per event.
-    """
-    facets = ["keyword", "Date", "platform", "proxy_isp", "plan"]
+    def per_day(name: str) -> Column:
+        return F.sum(F.when(by_keyword, 0).otherwise(F.col(name)))
+
+    def interest(category: str) -> Column:
+        return F.sum(F.when(by_keyword & (F.col("ContentType") == category), F.col("n")).otherwise(0))
+
+    return counts.groupBy("user_id").agg(
+        per_day("searches").alias("SearchCount"),
+        F.count("keyword").alias("UniqueKeyword"),
+        F.count("Date").alias("SearchDays"),
+        per_day("enters").alias("SearchEnter"),
+        per_day("quits").alias("SearchQuit"),
+        *[interest(c).alias(f"Interest_{c}") for c in rules.SEARCH_CATEGORIES],
+    )
+
+
+def _names(search_log: DataFrame) -> DataFrame:
+    """The text columns of the profile (platform, provider, plan) and the plan entries."""
     counts = (
-        filter_users(search_log)
-        .withColumn("plan", _first_plan())
+        search_log.withColumn("plan", _first_plan())
         .withColumn("entries", _plan_entries())
         .groupingSets(
-            [
-                ["user_id", "keyword"],
-                ["user_id", "Date"],
-                ["user_id", "platform"],
-                ["user_id", "proxy_isp"],
-                ["user_id", "Date", "plan"],
-            ],
+            [["user_id", "platform"], ["user_id", "proxy_isp"], ["user_id", "Date", "plan"]],
             "user_id",
-            *facets,
+            "platform",
+            "proxy_isp",
+            "Date",
+            "plan",
         )
         .agg(
-            *[(F.grouping(f) == 0).alias(f"by_{f}") for f in facets],
+            (F.grouping("plan") == 0).alias("by_plan"),
             F.count("*").alias("n"),
-            F.count("eventID").alias("searches"),
-            F.count_if(_is("enter")).alias("enters"),
-            F.count_if(_is("quit")).alias("quits"),
             F.sum("entries").alias("entries"),
             F.min("eventID").alias("event"),
         )
     )
-    by_keyword, by_plan = F.col("by_keyword"), F.col("by_plan")
-    by_day = F.col("by_Date") & ~by_plan
-
-    def total(name: str) -> Column:
-        return F.sum(F.when(by_day, F.col(name)).otherwise(0))
 
     def favourite(value: str) -> Column:
         counted = F.struct(-F.col("n"), F.col(value).alias("value"))
-        return F.min(F.when(F.col(f"by_{value}") & F.col(value).isNotNull(), counted))["value"]
+        return F.min(F.when(F.col(value).isNotNull(), counted))["value"]
 
-    users = (
-        classify_keyword(counts, patterns)
-        .groupBy("user_id")
-        .agg(
-            total("searches").alias("SearchCount"),
-            F.count_if(by_keyword & F.col("keyword").isNotNull()).alias("UniqueKeyword"),
-            F.count_if(by_day & F.col("Date").isNotNull()).alias("SearchDays"),
-            total("enters").alias("SearchEnter"),
-            total("quits").alias("SearchQuit"),
-            *[
-                F.sum(F.when(by_keyword & (F.col("ContentType") == c), F.col("n")).otherwise(0)).alias(
-                    f"Interest_{c}"
-                )
-                for c in rules.SEARCH_CATEGORIES
-            ],
-            favourite("platform").alias("platform"),
-            favourite("proxy_isp").alias("isp"),
-            _earliest_plan(by_plan & F.col("plan").isNotNull()).alias("plan"),
-            total("entries").alias("PlanCount"),
-        )
+    return counts.groupBy("user_id").agg(
+        favourite("platform").alias("platform"),
+        favourite("proxy_isp").alias("isp"),
+        _earliest_plan(F.col("plan").isNotNull()).alias("plan"),
+        F.sum(F.when(F.col("by_plan"), F.col("entries")).otherwise(0)).alias("PlanCount"),
     )
+
+
+def search_profile(
+    search_log: DataFrame, patterns: Mapping[str, str] = rules.KEYWORD_PATTERNS
+) -> DataFrame:
+    """One profile row per user.
+
+    Two aggregates over disjoint columns, numbers and names, joined one to one on the partitioning
+    they already have. Each runs in two steps: a grouping-sets aggregate counts events per user and
+    keyword, day, platform, provider or plan; a second one folds those counts per user. All state
+    is of fixed size and both steps combine on the map side, so a hot user or value does not end up
+    in one task. Names are kept apart because text cannot be updated in a hash aggregate's buffer:
+    in one aggregate every count would have to be sorted. Keywords are classified once per user and
+    keyword instead of once per event.
+    """
+    log = filter_users(search_log)
+    users = _numbers(log, patterns).join(_names(log), "user_id")
     return top_interest(users).select(
         "user_id",
         "SearchCount",
