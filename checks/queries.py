@@ -13,12 +13,19 @@ from couchlog import plans, sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FOLDERS: dict[tuple[str, str, str], str] = {}
+_FOLDERS: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of the input tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def _written(spark: SparkSession, sf_dir: str, layout: str, write: Callable[[str], str]) -> str:
     """Write a raw layout once per Spark application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir, layout)
+    key = (spark.sparkContext.applicationId, layout, _state(spark, sf_dir))
     if key not in _FOLDERS:
         _FOLDERS[key] = write(fixtures.raw_folder(spark, layout))
     return _FOLDERS[key]

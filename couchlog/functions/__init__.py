@@ -8,7 +8,7 @@ from couchlog.functions.columns import (
     share_percent,
     top_label,
 )
-from couchlog.functions.exact import exact_avg, exact_sum, summable
+from couchlog.functions.exact import exact_avg, exact_sum, units
 
 __all__ = [
     "activity_tier",
@@ -21,6 +21,6 @@ __all__ = [
     "plan_name",
     "ratio",
     "share_percent",
-    "summable",
     "top_label",
+    "units",
 ]

@@ -1,7 +1,8 @@
 """Sums and averages that do not depend on the order in which rows arrive.
 
 A sum of doubles changes in its last digits with the order of its terms, and that order changes
-with every shuffle and every retried task. Doubles are therefore summed as decimals.
+with every shuffle and every retried task. Raw doubles are therefore added up as whole thousandths
+(as fast as doubles, and far faster than decimals), profile columns as decimals.
 """
 
 from __future__ import annotations
@@ -12,18 +13,20 @@ from pyspark.sql import types as T
 
 from couchlog.functions.columns import half_up
 
-MICRO = "decimal(18,6)"
+DIGITS = 3
 
 
-def summable(df: DataFrame, name: str) -> Column:
-    """The column in a type that adds up exactly: whole numbers and decimals as they are,
-    floating point to six decimals (NaN counts as missing; a value beyond 1e12 fails loudly)."""
+def units(df: DataFrame, name: str, digits: int = DIGITS) -> tuple[Column, int]:
+    """The column in a type that adds up exactly, and the number of its units in 1.
+
+    Whole numbers and decimals stay as they are. Floating point becomes whole units of the given
+    digits: at 3 digits a total may reach 9e15. NaN counts as 0, as null does in a total.
+    """
     dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.nanvl(F.col(name), F.lit(None).cast(dtype)).cast(MICRO)
-    if isinstance(dtype, T.StringType):
-        return F.col(name).cast(MICRO)
-    return F.col(name)
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.StringType)):
+        scale = 10**digits
+        return F.floor(F.col(name).cast("double") * scale + 0.5), scale
+    return F.col(name), 1
 
 
 def exact_sum(col: Column) -> Column:

@@ -81,19 +81,19 @@ def explode_plans(search_log: DataFrame) -> DataFrame:
     )
 
 
-def _present_plans() -> Column:
-    return F.filter("userPlansMap", lambda plan: plan.isNotNull())
+def _with_plan(search_log: DataFrame) -> DataFrame:
+    """Per event: name of the first non-null plan entry, day of that plan, number of entries.
 
-
-def _first_plan() -> Column:
-    """Name of the first non-null plan entry of an event."""
-    return plan_name(F.get(_present_plans(), F.lit(0)))
-
-
-def _plan_entries() -> Column:
-    """Number of non-null plan entries of an event."""
+    Events without a plan get no day, so that they make one group per user and not one per day.
+    """
+    entries = F.filter("userPlansMap", lambda plan: plan.isNotNull())
     held = F.col("userPlansMap").isNotNull()
-    return F.when(held, F.size(_present_plans())).otherwise(0).cast("long")
+    return (
+        search_log.withColumn("held", F.when(held, entries))
+        .withColumn("plan", plan_name(F.get("held", F.lit(0))))
+        .withColumn("plan_day", F.when(F.col("plan").isNotNull(), F.col("Date")))
+        .withColumn("entries", F.when(held, F.size("held")).otherwise(0).cast("long"))
+    )
 
 
 def plan_summary(search_log: DataFrame) -> DataFrame:
@@ -103,21 +103,20 @@ def plan_summary(search_log: DataFrame) -> DataFrame:
     last); then the smallest name.
     """
     seen = (
-        search_log.withColumn("plan", _first_plan())
-        .withColumn("entries", _plan_entries())
-        .groupBy("user_id", "Date", "plan")
+        _with_plan(search_log)
+        .groupBy("user_id", "plan_day", "plan")
         .agg(F.min("eventID").alias("event"), F.sum("entries").alias("entries"))
     )
     return (
         seen.groupBy("user_id")
-        .agg(_earliest_plan(F.col("plan").isNotNull()).alias("PlanName"), F.sum("entries").alias("PlanCount"))
+        .agg(_earliest_plan().alias("PlanName"), F.sum("entries").alias("PlanCount"))
         .withColumn("HasPlan", F.col("PlanCount") > 0)
     )
 
 
-def _earliest_plan(applies: Column) -> Column:
-    order = F.struct("Date", F.col("event").isNull().alias("no_event"), "event", "plan")
-    return F.min(F.when(applies, order))["plan"]
+def _earliest_plan() -> Column:
+    order = F.struct("plan_day", F.col("event").isNull().alias("no_event"), "event", "plan")
+    return F.min(F.when(F.col("plan").isNotNull(), order))["plan"]
 
 
 def search_activity(search_log: DataFrame, limit: int = rules.SEARCH_DAY_LIMIT) -> DataFrame:
@@ -162,14 +161,13 @@ def _numbers(search_log: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
 def _names(search_log: DataFrame) -> DataFrame:
     """The text columns of the profile (platform, provider, plan) and the plan entries."""
     counts = (
-        search_log.withColumn("plan", _first_plan())
-        .withColumn("entries", _plan_entries())
+        _with_plan(search_log)
         .groupingSets(
-            [["user_id", "platform"], ["user_id", "proxy_isp"], ["user_id", "Date", "plan"]],
+            [["user_id", "platform"], ["user_id", "proxy_isp"], ["user_id", "plan_day", "plan"]],
             "user_id",
             "platform",
             "proxy_isp",
-            "Date",
+            "plan_day",
             "plan",
         )
         .agg(
@@ -187,7 +185,7 @@ def _names(search_log: DataFrame) -> DataFrame:
     return counts.groupBy("user_id").agg(
         favourite("platform").alias("platform"),
         favourite("proxy_isp").alias("isp"),
-        _earliest_plan(F.col("plan").isNotNull()).alias("plan"),
+        _earliest_plan().alias("plan"),
         F.sum(F.when(F.col("by_plan"), F.col("entries")).otherwise(0)).alias("PlanCount"),
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from couchlog import rules
-from couchlog.functions import activity_tier, by_value, combo_label, summable, top_label
+from couchlog.functions import activity_tier, by_value, combo_label, top_label, units
 
 Codes = Mapping[str, Sequence[str]]
 
@@ -34,21 +34,33 @@ def filter_contract(view_log: DataFrame, codes: Codes = rules.APP_CODES) -> Data
     return view_log.filter(_valid(codes))
 
 
+def _category_sums(rows: DataFrame, codes: Codes) -> tuple[dict[str, Column], int]:
+    """Sum of the duration per category, in units, and the number of units in a second."""
+    amount, scale = units(rows, "TotalDuration")
+    sums = {
+        c: F.sum(F.when(F.col("AppName").isin(list(codes[c])), amount)) for c in rules.WATCH_CATEGORIES
+    }
+    return sums, scale
+
+
+def _seconds(total: Column, scale: Column | int) -> Column:
+    return F.coalesce(total.cast("double") / scale, F.lit(0.0))
+
+
 def daily_totals(
     view_log: DataFrame, codes: Codes = rules.APP_CODES, keep_invalid: bool = False
 ) -> DataFrame:
     """One row per contract and day: amount per category, and `Views`, the rows that count.
 
-    `keep_invalid` also keeps days on which nothing counts, which `days_covered` needs.
+    `Scale` amounts make a second. `keep_invalid` also keeps days on
+    which nothing counts, which `days_covered` needs.
     """
     rows = view_log if keep_invalid else filter_contract(view_log, codes)
-    amount = summable(rows, "TotalDuration")
-    return rows.groupBy("Contract", "Date").agg(
-        *[
-            F.sum(F.when(F.col("AppName").isin(list(codes[c])), amount)).alias(c)
-            for c in rules.WATCH_CATEGORIES
-        ],
-        F.count_if(_valid(codes)).alias("Views"),
+    sums, scale = _category_sums(rows, codes)
+    return (
+        rows.groupBy("Contract", "Date")
+        .agg(*[total.alias(c) for c, total in sums.items()], F.count_if(_valid(codes)).alias("Views"))
+        .withColumn("Scale", F.lit(scale))
     )
 
 
@@ -57,10 +69,7 @@ def _contract_totals(daily: DataFrame) -> DataFrame:
         daily.filter((F.col("Views") > 0) & (F.col("Contract") != rules.INVALID_CONTRACT))
         .groupBy("Contract")
         .agg(
-            *[
-                F.coalesce(F.sum(c).cast("double"), F.lit(0.0)).alias(c)
-                for c in rules.WATCH_CATEGORIES
-            ],
+            *[_seconds(F.sum(c), F.max("Scale")).alias(c) for c in rules.WATCH_CATEGORIES],
             F.count("Date").alias("DayCount"),
         )
     )
@@ -69,15 +78,9 @@ def _contract_totals(daily: DataFrame) -> DataFrame:
 def watch_totals(view_log: DataFrame, codes: Codes = rules.APP_CODES) -> DataFrame:
     """Seconds per contract and category, categories without views 0."""
     rows = filter_contract(view_log, codes)
-    amount = summable(rows, "TotalDuration")
+    sums, scale = _category_sums(rows, codes)
     return rows.groupBy("Contract").agg(
-        *[
-            F.coalesce(
-                F.sum(F.when(F.col("AppName").isin(list(codes[c])), amount)).cast("double"),
-                F.lit(0.0),
-            ).alias(f"Total_{c}")
-            for c in rules.WATCH_CATEGORIES
-        ]
+        *[_seconds(total, scale).alias(f"Total_{c}") for c, total in sums.items()]
     )
 
 

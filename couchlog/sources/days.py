@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import re
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,17 +37,18 @@ class DayFolder:
         found = self._fs.globStatus(self._path(f"{self.root}/{pattern}")) or []
         return sorted(status.getPath().getName() for status in found)
 
-    def day(self) -> Column:
+    def day(self, entries: list[str]) -> Column:
         """Name of the entry a row was read from, as plain text."""
         below = F.substring_index(F.col("_metadata.file_path"), f"{self.uri_path}/", -1)
         name = F.substring_index(below, "/", 1)
-        decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-        return F.when(name.contains("%"), decoded).otherwise(name)
+        if all(re.fullmatch(r"[\w.-]+", entry, re.ASCII) for entry in entries):
+            return name
+        return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def with_day(df: DataFrame, folder: DayFolder, suffix: str = "") -> DataFrame:
+def with_day(df: DataFrame, folder: DayFolder, entries: list[str], suffix: str = "") -> DataFrame:
     """Add `Date`, the day entry's name without the suffix, as text."""
-    day = folder.day()
+    day = folder.day(entries)
     return df.withColumn("Date", F.replace(day, F.lit(suffix), F.lit("")) if suffix else day)
 
 
@@ -64,11 +66,18 @@ def read_daily_json(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA) -
     """
     folder = DayFolder(spark, root)
     pattern = f"{EIGHT_DIGITS}*.json"
-    if not folder.entries(pattern):
+    entries = folder.entries(pattern)
+    if not entries:
         raise NoDataError(f"no day file {pattern} in {root}")
     envelope = T.StructType().add("_source", T.StructType.fromDDL(fields))
     lines = spark.read.schema(envelope).json(f"{folder.root}/{pattern}")
-    return flatten_envelope(with_day(lines, folder, ".json"))
+    return flatten_envelope(with_day(lines, folder, entries, ".json"))
+
+
+def _calendar(start: str, end: str) -> set[str]:
+    first, last = (datetime.strptime(text, "%Y%m%d") for text in (start, end))
+    count = (last - first).days + 1
+    return {(first + timedelta(days=n)).strftime("%Y%m%d") for n in range(count)}
 
 
 def read_parquet_days(
@@ -85,10 +94,10 @@ def read_parquet_days(
     range are opened. Columns are matched by name to the declared fields; pass None to take them
     from the files, with `merge_schema` where they were added over time.
     """
-    first, last = (datetime.strptime(text, "%Y%m%d").strftime("%Y%m%d") for text in (start, end))
+    wanted = _calendar(start, end)
     folder = DayFolder(spark, root)
-    days = [name for name in folder.entries(EIGHT_DIGITS) if first <= name <= last]
+    days = [name for name in folder.entries(EIGHT_DIGITS) if name in wanted]
     if not days:
         raise NoDataError(f"no day folder from {start} to {end} in {root}")
     reader = spark.read.schema(fields) if fields else spark.read.option("mergeSchema", merge_schema)
-    return with_day(reader.parquet(*[f"{folder.root}/{day}" for day in days]), folder)
+    return with_day(reader.parquet(*[f"{folder.root}/{day}" for day in days]), folder, days)

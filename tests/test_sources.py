@@ -68,6 +68,7 @@ def days(spark, tmp_path):
         frame = frame.drop("keyword") if key == 4 else frame
         frame.write.parquet(f"{root}/{day}")
     write(root, "notes/readme.txt", "x")
+    write(root, "20220699/part-0.parquet", "not a date, so never opened")
     return root
 
 
@@ -86,6 +87,7 @@ def test_day_range_with_merged_schema(spark, days):
 
 
 def test_day_range_errors(spark, days):
+    assert sources.read_parquet_days(spark, days, "20220601", "20220714", FIELDS).count() == 4
     for start, end in [("20220605", "20220601"), ("20230101", "20230102")]:
         with pytest.raises(NoDataError):
             sources.read_parquet_days(spark, days, start, end, FIELDS)
