@@ -26,6 +26,7 @@ view_log AS (
   SELECT {VIEW_COLUMNS}, '2024010' || ((day(ts) - 1) % 7 + 1) AS "Date" FROM events
 )"""
 
+# The app codes, written out for the same reason.
 VIEWS = """
 typed AS (
   SELECT *,
@@ -101,6 +102,7 @@ search_all AS (
 ),
 search_log AS (SELECT * FROM search_all WHERE user_id IS NOT NULL AND user_id <> '')"""
 
+# The keyword patterns, written out here so that the SQL stands on its own.
 KEYWORD_CASE = r"""
     CASE WHEN regexp_matches(lower(keyword), 'kênh|vtv|htv|channel|trực tiếp|live tv') THEN 'TruyenHinh'
          WHEN regexp_matches(lower(keyword), 'bóng đá|u23|u20|ngoại hạng|running man|thể thao|sport|world cup|champion') THEN 'TheThao'

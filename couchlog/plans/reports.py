@@ -35,7 +35,7 @@ def distribution(
 def ranked(top: DataFrame, order: Sequence[Column], podium: int = 3) -> DataFrame:
     """Rank 1..n and a mark for the first three. `top` is a top-k table: the single window
     partition holds k rows."""
-    rank = F.row_number().over(Window.orderBy(*order))
+    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
     return top.withColumn("rank", rank).withColumn("is_top3", F.col("rank") <= podium)
 
 
@@ -79,7 +79,8 @@ def watch_hours(profile: DataFrame) -> DataFrame:
 
 def top_contracts(profile: DataFrame, k: int = 20) -> DataFrame:
     """Contracts with the most hours, by the rounded figure."""
-    seconds = sum((F.col(f"Total_{c}") for c in rules.WATCH_CATEGORIES[1:]), F.col(f"Total_{rules.WATCH_CATEGORIES[0]}"))
+    first, *rest = [F.col(f"Total_{c}") for c in rules.WATCH_CATEGORIES]
+    seconds = sum(rest, first)
     return (
         profile.select(
             F.col("Contract").alias("contract"),
