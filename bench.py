@@ -90,7 +90,7 @@ def main() -> None:
     search = sources.write_table(ops.search_profile(searches), f"{folder}/search")
 
     builds = {
-        "content_profile": lambda: [ops.content_profile(views)],
+        "content_profile": lambda: [ops.content_profile(views, rules.MONTH_LIMIT)],
         "search_profile": lambda: [ops.search_profile(searches)],
         "baseline_content_profile": lambda: [branched_content(views)],
         "baseline_search_profile": lambda: [branched_search(searches)],
