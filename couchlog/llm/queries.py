@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from couchlog.llm.fingerprints import op10_fingerprints
 from couchlog.llm.line_dedup import OP8_SQL, op8_line_dedup
 
 QUERIES = {
     "op8_line_dedup": op8_line_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE = {
