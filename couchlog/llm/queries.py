@@ -8,8 +8,10 @@ from couchlog.llm.line_dedup import OP8_SQL, op8_line_dedup
 from couchlog.llm.packing import op4_packing
 from couchlog.llm.quality import op7_quality
 from couchlog.llm.secrets import op9_secrets
+from couchlog.llm.suffix_dedup import op3_suffix_dedup
 
 QUERIES = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_packing": op4_packing,
     "op5_html_text": op5_html_text,
     "op7_quality": op7_quality,
