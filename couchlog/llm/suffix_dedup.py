@@ -182,7 +182,8 @@ class _Contexts:
             k = slice(i, i + (1 << 15))
             place = self.at[k, None] + span
             real = (span >= -self.la[k, None]) & (span < GRAM + self.ra[k, None])
-            self.text[k] = np.where(real, block.data[np.clip(place, 0, len(block.data) - 1)], 256)
+            bytes_there = block.data[np.clip(place, 0, len(block.data) - 1)].astype(np.uint16)
+            self.text[k] = np.where(real, bytes_there, np.uint16(256))
             context[k] = mix((_TABLE[self.text[k]] * _PLACE).sum(1, dtype=np.uint64))
         cold = np.flatnonzero(~self.hot)
         order = cold[np.lexsort((self.ids[cold], context[cold], gram[cold]))]
