@@ -5,6 +5,7 @@ from __future__ import annotations
 from couchlog.llm.fingerprints import op10_fingerprints
 from couchlog.llm.html_text import op5_html_text
 from couchlog.llm.line_dedup import OP8_SQL, op8_line_dedup
+from couchlog.llm.minhash_dedup import op6_minhash
 from couchlog.llm.packing import op4_packing
 from couchlog.llm.quality import op7_quality
 from couchlog.llm.secrets import op9_secrets
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_packing": op4_packing,
     "op5_html_text": op5_html_text,
+    "op6_minhash": op6_minhash,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
     "op9_secrets": op9_secrets,
