@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from couchlog.llm.decontamination import op1_decontamination
 from couchlog.llm.fingerprints import op10_fingerprints
 from couchlog.llm.html_text import op5_html_text
 from couchlog.llm.line_dedup import OP8_SQL, op8_line_dedup
@@ -12,6 +13,7 @@ from couchlog.llm.secrets import op9_secrets
 from couchlog.llm.suffix_dedup import op3_suffix_dedup
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_packing": op4_packing,
     "op5_html_text": op5_html_text,
