@@ -31,14 +31,18 @@ _VALUE_BITS = 63 - (BINS.bit_length() - 1)
 _EMPTY = (1 << _VALUE_BITS) - 1
 
 
-def shingle_hashes(text: Column) -> Column:
-    """A non-negative hash for every run of five words (not distinct); one for fewer words."""
-    words = F.array_remove(F.split(F.lower(text), f"{SPACE}+"), "")
-    n = F.size(words)
-    runs = F.arrays_zip(*[F.slice(words, F.lit(k + 1), n - (SHINGLE - 1)) for k in range(SHINGLE)])
+def shingle_hashes(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add `out`: a non-negative hash for every run of five words (not distinct); one for fewer words.
+
+    The words are a column of their own, so that a text is split once and not for each use.
+    """
+    df = df.withColumn("_words", F.array_remove(F.split(F.lower(text), f"{SPACE}+"), ""))
+    n = F.size("_words")
+    runs = F.arrays_zip(*[F.slice("_words", F.lit(k + 1), n - (SHINGLE - 1)) for k in range(SHINGLE)])
     hashed = F.transform(runs, lambda run: F.xxhash64(run).bitwiseAND(F.lit(NO_ID)))
-    whole = F.array(F.xxhash64(F.array_join(words, " ")).bitwiseAND(F.lit(NO_ID)))
-    return F.when(n >= SHINGLE, hashed).when(n > 0, whole).otherwise(F.array().cast("array<bigint>"))
+    whole = F.array(F.xxhash64(F.array_join("_words", " ")).bitwiseAND(F.lit(NO_ID)))
+    hashes = F.when(n >= SHINGLE, hashed).when(n > 0, whole).otherwise(F.array().cast("array<bigint>"))
+    return df.withColumn(out, hashes).drop("_words")
 
 
 def _bin(value: Column) -> Column:
@@ -75,7 +79,7 @@ def _densified(codes: str, filled: str) -> Column:
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add `out`: `BINS` codes of `BITS` bits, or none for a text without words."""
-    df = df.withColumn("_hashes", shingle_hashes(F.col(text)))
+    df = shingle_hashes(df, text, "_hashes")
     df = _bin_codes(df, "_hashes", "_codes")
     filled = F.filter(
         F.transform("_codes", lambda c, j: F.struct(j.alias("at"), c.alias("code"))), lambda e: e["code"].isNotNull()
