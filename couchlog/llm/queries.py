@@ -10,10 +10,12 @@ from couchlog.llm.minhash_dedup import op6_minhash
 from couchlog.llm.packing import op4_packing
 from couchlog.llm.quality import op7_quality
 from couchlog.llm.secrets import op9_secrets
+from couchlog.llm.substring_dedup import OP2_SQL, op2_debruijn
 from couchlog.llm.suffix_dedup import op3_suffix_dedup
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_debruijn": op2_debruijn,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_packing": op4_packing,
     "op5_html_text": op5_html_text,
@@ -25,5 +27,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_debruijn": OP2_SQL,
     "op8_line_dedup": OP8_SQL,
 }
