@@ -6,7 +6,7 @@ Every stage takes (spark, docs, sf_dir) and works on all rows that the stage bef
 last return the columns of `docs`. Stages read other tables (labels, benchmark) from `sf_dir`.
 
 Defined cases are those of the operators in `couchlog.llm`. A text that loses all its lines stays as
-an empty document. `n_chars` follows the text where a stage changes it.
+an empty document, and so does a null text. `n_chars` follows the text where a stage changes it.
 """
 
 from __future__ import annotations
@@ -15,11 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from couchlog.llm import decontamination, line_dedup, minhash_dedup, packing, quality
-from couchlog.llm.common import documents, inputs, stage
-
-
-def _named(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in names])
+from couchlog.llm.common import boxed, documents, inputs, stage, unboxed
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,18 +24,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model is learnt on the documents of `sf_dir`, which the labels belong to.
     """
     model = quality.train(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    scored = quality.score_quality(rows.select("row", F.col("row.text").alias("text")), model)
-    return _named(scored.filter(F.col("score") >= quality.CUT).select("row.*"), docs.columns)
+    rows = docs.select(boxed(docs, ("text",)).alias("row"), "text")
+    scored = quality.score_quality(rows, model).filter(F.col("score") >= quality.CUT)
+    return unboxed(scored, docs.columns, text=F.col("text"))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that another document with a smaller id holds."""
     cut = line_dedup.drop_repeated_lines(docs)
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        cut = cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))
-    return _named(cut, docs.columns)
+        new["n_chars"] = F.when(F.col("n_dropped") > 0, length).otherwise(F.col("rest.n_chars"))
+    return unboxed(cut, docs.columns, "rest", **new)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

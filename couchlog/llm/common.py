@@ -41,6 +41,17 @@ def inputs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"))
 
 
+def boxed(docs: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """The columns of `docs` as one struct (null if there is none left): what an operator adds cannot clash with them."""
+    names = [c for c in docs.columns if c not in without]
+    return F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.lit(None).cast("struct<none: int>")
+
+
+def unboxed(df: DataFrame, names: list[str], box: str = "row", **replaced: Column) -> DataFrame:
+    """The columns `names` again, from the struct or from `replaced`."""
+    return df.select(*[replaced[c].alias(c) if c in replaced else F.col(f"`{box}`.`{c}`").alias(c) for c in names])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that driver and executors share.
 

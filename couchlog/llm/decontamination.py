@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couchlog.llm.common import documents, id_back, inputs, schema, stage
+from couchlog.llm.common import boxed, documents, id_back, inputs, schema, stage, text_of, unboxed
 from couchlog.llm.words import rolling, utf8, word_bounds, word_hashes
 
 GRAM = 4
@@ -182,10 +182,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCOR
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows and columns of `docs` whose document holds no test item; rows without an id are judged by text."""
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")))
-    found = leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark, least_score)
-    out = keyed.join(stage(found.select(F.col("id").alias("_key")).distinct()), "_key", "left_anti")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(text_of()))
+    found = leaks(docs.select(key.alias("doc_id"), "text"), benchmark, least_score)
+    keyed = docs.select(boxed(docs).alias("row"), key.alias("id"))
+    return unboxed(keyed.join(stage(found.select("id").distinct()), "id", "left_anti"), docs.columns)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

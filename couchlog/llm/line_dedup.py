@@ -9,7 +9,7 @@ text itself is read again only to apply it.
 
 Defined cases: a null or empty text is one empty line; a null id sorts after all others; rows with
 equal id are one document (a line repeated only within them stays); repeated rows give repeated
-results; other columns are ignored by `keep_bitmaps` and carried along by `apply_bitmaps`.
+results; other columns play no part and are carried along as a struct, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couchlog.llm.common import documents, id_of, inputs, schema, stage, text_of
+from couchlog.llm.common import boxed, documents, id_of, inputs, schema, stage, text_of
 
 MIN_CHARS = 10
 _WHITE = " \t\n\x0b\x0c\r"
@@ -66,9 +66,8 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begins[0] = not joins
         group = np.cumsum(begins)
         firsts = np.concatenate([[first_id], ids[begins]])[group]
-        in_opening = opening & (group == (0 if joins else 1)) if last is not None else group == 1
-        if last is not None and not joins:
-            in_opening = np.zeros(len(h1), bool)
+        # the partition's first hash: group 1 of its first rows, and group 0 as long as it goes on
+        in_opening = group == 1 if last is None else (group == 0) & opening & joins
         drop = ids > firsts
         pending = in_opening & ~drop
         last, first_id = (h1[-1], h2[-1]), firsts[-1]
@@ -127,40 +126,34 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = batch.schema.get_field_index("_text")
-        texts = batch.column(at)
-        dropped, keeps = batch.column("n_dropped").to_numpy(), batch.column("_keep")
-        if dropped.any():
+        rest, texts, n_lines, dropped, keeps = batch.columns
+        if dropped.to_numpy().any():
             new = texts.to_pylist()
-            for i in np.flatnonzero(dropped):
-                lines = new[i].split("\n")
+            for i in np.flatnonzero(dropped.to_numpy()):
                 bits = np.unpackbits(np.frombuffer(zlib.decompress(keeps[i].as_py()), np.uint8))
-                new[i] = "\n".join([x for x, b in zip(lines, bits) if b])
+                new[i] = "\n".join([line for line, keep in zip(new[i].split("\n"), bits) if keep])
             texts = pa.array(new, texts.type)
-        columns = [texts if k == at else c for k, c in enumerate(batch.columns)]
-        yield pa.record_batch(columns, batch.schema.names).drop_columns(["_keep"])
+        yield pa.record_batch([rest, texts, n_lines, dropped], ["rest", "text", "n_lines", "n_dropped"])
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with `text_col` cut to the kept lines, plus n_lines and n_dropped."""
-    marks = bitmaps.select(F.col("id").alias("_id"), F.col("version").alias("_version"), "n_lines", "n_dropped", F.col("keep").alias("_keep"))
-    others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in others], text_of(text_col).alias("_text"))
-    keyed = rows.withColumn("_id", id_of(id_col)).withColumn("_version", F.xxhash64("_text"))
-    joined = keyed.join(marks, ["_id", "_version"]).drop("_id", "_version")
-    fields = joined.schema
-    out = joined.mapInArrow(_apply, schema(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name != "_keep")))
-    return out.withColumnRenamed("_text", text_col)
+    """rest (struct of the other columns of `docs`), text (its kept lines), n_lines, n_dropped."""
+    rows = docs.select(boxed(docs, (text_col,)).alias("rest"), id_of(id_col).alias("id"), text_of(text_col).alias("text"))
+    joined = rows.withColumn("version", F.xxhash64("text")).join(bitmaps, ["id", "version"])
+    rest = rows.schema["rest"].dataType.simpleString()
+    return joined.select("rest", "text", "n_lines", "n_dropped", "keep").mapInArrow(
+        _apply, schema(f"rest {rest}, text string, n_lines bigint, n_dropped bigint")
+    )
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Documents after line dedup, with n_lines and n_dropped."""
+    """Documents after line dedup: rest (struct of the other columns), text, n_lines, n_dropped."""
     return apply_bitmaps(docs, stage(keep_bitmaps(docs, min_chars)))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return kept.select("rest.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 # Keys as in `line_key`; the smallest holder of a key keeps its lines. Any null id sorts last.

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from couchlog.llm.blocks import BLOCK_BYTES, Block, Blocks, squeeze, unsqueeze
-from couchlog.llm.common import documents, id_back, id_of, inputs, schema, stage, text_of
+from couchlog.llm.common import boxed, documents, id_back, id_of, inputs, schema, stage, text_of, unboxed
 from couchlog.llm.components import components
 from couchlog.llm.words import mix, shingles, word_bounds, word_hashes
 
@@ -224,11 +224,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     found = stage(near_duplicates(docs))
     firsts = found.filter("group IS NOT NULL").groupBy("group").agg(F.min(F.struct("id", "version")).alias("m"))
     lone = found.filter("group IS NULL").select("id", "version").distinct()
-    keep = firsts.select("m.*", F.lit(False).alias("_lone")).unionByName(lone.withColumn("_lone", F.lit(True)))
-    keyed = docs.withColumn("_id", id_of()).withColumn("_version", F.xxhash64(text_of()))
-    joined = keyed.join(keep.toDF("_id", "_version", "_lone"), ["_id", "_version"])
-    nth = F.row_number().over(Window.partitionBy("_id", "_version").orderBy("_lone"))
-    return joined.withColumn("_nth", nth).filter("_lone OR _nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = firsts.select("m.*", F.lit(False).alias("lone")).unionByName(lone.withColumn("lone", F.lit(True)))
+    keyed = docs.select(boxed(docs).alias("row"), id_of().alias("id"), F.xxhash64(text_of()).alias("version"))
+    nth = F.row_number().over(Window.partitionBy("id", "version").orderBy("lone"))
+    joined = keyed.join(keep, ["id", "version"]).withColumn("nth", nth)
+    return unboxed(joined.filter("lone OR nth = 1"), docs.columns)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
