@@ -2,7 +2,8 @@
 
 Each block of text gives points for its length and its commas to the elements above it, the nearer
 the more; an element's points are discounted by the share of its text that is in links. The element
-with most points, or the article around it, is the container. It is kept with those siblings that
+with most points, or the article around it, or the articles in it that hold most of its text, is the
+container. It is kept with those siblings that
 have a fair share of its points or are plain paragraphs. Menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts and styles take no part and are cut out wherever they are.
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couchlog.llm.common import schema
+from couchlog.llm.common import boxed, schema, unboxed
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -183,6 +184,10 @@ def _container(root: _Node) -> _Node:
     if not nodes:
         return root
     best = max(nodes.values(), key=_score)  # the first of equals
+    if best.tag in ("#root", "html", "body"):
+        articles = [n for n in nodes.values() if n.tag in ("article", "main")]
+        if 2 * sum(n.chars for n in articles if not _inside_article(n)) >= best.chars:
+            best = max(articles, key=_score)
     node = best
     while node is not None:
         if node.tag in ("article", "main"):
@@ -191,6 +196,15 @@ def _container(root: _Node) -> _Node:
     return best
 
 
+def _inside_article(node: _Node) -> bool:
+    above = node.parent
+    while above is not None:
+        if above.tag in ("article", "main"):
+            return True
+        above = above.parent
+    return False
+
+
 def _score(node: _Node) -> float:
     return node.points * (1 - node.linked / max(node.chars, 1))
 
@@ -211,18 +225,17 @@ def main_text(html: str) -> str:
 
 
 def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """All rows and columns of `pages` but the html, plus `text`."""
-    others = [c for c in pages.columns if c not in (html_col, "text")]
-    rows = pages.select(*[F.col(f"`{c}`") for c in others], F.col(html_col).cast("string").alias("_html"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_html"]
+    """All rows and columns of `pages` but the html, with `text` (a column of that name is replaced)."""
+    rest = [c for c in pages.columns if c not in (html_col, "text")]
+    rows = pages.select(boxed(pages, (html_col, "text")).alias("row"), F.col(html_col).cast("string").alias("html"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py() or "") for page in batch.column("_html")]
-            columns = [c for c, n in zip(batch.columns, batch.schema.names) if n != "_html"]
-            yield pa.record_batch([*columns, pa.array(texts, pa.string())], [*others, "text"])
+            texts = [main_text(page.as_py() or "") for page in batch.column("html")]
+            yield pa.record_batch([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
-    return rows.mapInArrow(extract, schema(", ".join([*fields, "text string"])))
+    found = rows.mapInArrow(extract, schema(f"row {rows.schema['row'].dataType.simpleString()}, text string"))
+    return unboxed(found, [*rest, "text"], text=F.col("text"))
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
