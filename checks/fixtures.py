@@ -6,6 +6,11 @@ calendars below, so that the logs span as many days as the jobs expect.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +57,12 @@ def view_log_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(*_view_columns(), weekday.alias("Date"))
 
 
+def view_log_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same views with durations that are finer than a thousandth."""
+    fine = (F.col("TotalDuration").cast("decimal(18,2)") * F.expr("0.00037BD")).cast("double")
+    return view_log(spark, sf_dir).withColumn("TotalDuration", fine)
+
+
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Searches on 28 days of the 44 from 2022-06-01 to 2022-07-14."""
     lines = (
@@ -137,6 +148,16 @@ def write_search_days(log: DataFrame, root: str) -> str:
     return _name_days(log.sparkSession, root, "")
 
 
+def share_folder(spark: SparkSession) -> None:
+    """Name a shared folder in a session of one machine that has none, for the life of the process."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        folder = tempfile.mkdtemp(prefix="couchlog-checks-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+
+
 def raw_folder(spark: SparkSession, layout: str) -> str:
     """A new folder for a raw log, in the shared folder of the session."""
+    share_folder(spark)
     return f"{stage_root(spark)}/{layout}"

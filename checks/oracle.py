@@ -48,6 +48,7 @@ def _watched(category: str) -> str:
     )
 
 
+# The categories in tie-break order; the columns of results carry their names.
 WATCH = ["Giai_Tri", "Phim_Truyen", "The_Thao", "Thieu_Nhi", "Truyen_Hinh"]
 SEARCH = ["TruyenHinh", "TheThao", "ThieuNhi", "Phim", "GiaiTri"]
 
@@ -211,6 +212,7 @@ def _count(column: str, alias: str, source: str, exclude: str = "", k: int | Non
 
 
 _HOURS = ", ".join(f'{_half_up(_sum(t) + " / 3600", 1)} AS {c.lower()}_h' for t, c in zip(_TOTALS, WATCH))
+# Names of the interest totals, and below the labels of charts and figures.
 _SUM_NAMES = ["truyen_hinh", "the_thao", "thieu_nhi", "phim", "giai_tri"]
 _SUMS = ", ".join(f"CAST(SUM({c}) AS BIGINT) AS {n}" for c, n in zip(_INTERESTS, _SUM_NAMES))
 
@@ -311,7 +313,52 @@ def _ranked(table: str, order: str) -> str:
     return f"SELECT *, {rank} AS rank, {rank} <= 3 AS is_top3 FROM ({table})"
 
 
+# Another platform's rules, as in `checks.queries`.
+_SCREEN = """CASE WHEN "AppName" IN ('CHANNEL', 'VOD') THEN 'Screen' ELSE 'Rest' END"""
+_OTHER_VIEWS = f"""WITH {VIEW_LOG},
+valid AS (
+  SELECT *, {_SCREEN} AS "Type" FROM view_log
+  WHERE "Contract" <> '1' AND "AppName" IN ('CHANNEL', 'VOD', 'RELAX', 'CHILD', 'BHD')),
+totals AS (
+  SELECT "Contract", {_watched("Screen")}, {_watched("Rest")}, COUNT(DISTINCT "Date") AS d FROM valid GROUP BY "Contract"),
+day_limit AS (SELECT CASE WHEN COUNT(DISTINCT "Date") <= 7 THEN 1 ELSE 3 END AS n FROM view_log)
+SELECT "Contract", "Total_Screen", "Total_Rest",
+  CASE WHEN "Total_Screen" >= "Total_Rest" THEN 'Screen' ELSE 'Rest' END AS "MostWatch",
+  CASE WHEN "Total_Screen" > 0 AND "Total_Rest" > 0 THEN 'Screen-Rest' WHEN "Total_Screen" > 0 THEN 'Screen'
+       WHEN "Total_Rest" > 0 THEN 'Rest' ELSE 'None' END AS "Taste",
+  CASE WHEN d > (SELECT n FROM day_limit) THEN 'High' ELSE 'Low' END AS "Active"
+FROM totals"""
+
+_OTHER_KINDS = ["News", "Letters", "None"]
+_OTHER_COUNTS = [f'"Interest_{k}"' for k in _OTHER_KINDS]
+_OTHER_SEARCHES = f"""WITH {SEARCH_LOG},{BEHAVIOR},{PLATFORM},{ISP},{PLAN},
+interest AS (
+  SELECT user_id, {', '.join(f"COUNT(*) FILTER (WHERE kind = '{k}') AS {c}" for k, c in zip(_OTHER_KINDS, _OTHER_COUNTS))}
+  FROM (SELECT user_id, CASE WHEN regexp_matches(lower(keyword), 'vtv') THEN 'News'
+          WHEN regexp_matches(lower(keyword), '[aeiou]{{2}}') THEN 'Letters' ELSE 'None' END AS kind FROM search_log)
+  GROUP BY user_id)
+SELECT user_id, "SearchCount", "UniqueKeyword", "SearchDays", "SearchEnter", "SearchQuit", "QuitRate",
+  {', '.join(_OTHER_COUNTS)}, {_largest(_OTHER_COUNTS, _OTHER_KINDS)} AS "TopInterest",
+  COALESCE("MainPlatform", '?') AS "MainPlatform", COALESCE("MainISP", '?') AS "MainISP",
+  COALESCE("PlanName", '-') AS "PlanName", "PlanCount", "HasPlan",
+  CASE WHEN "SearchDays" >= 10 THEN 'High' ELSE 'Low' END AS "SearchActive"
+FROM behavior JOIN interest USING (user_id) LEFT JOIN main_platform USING (user_id)
+LEFT JOIN main_isp USING (user_id) LEFT JOIN plans USING (user_id)"""
+
+_FINE_TOTALS = f"""WITH {VIEW_LOG},{VIEWS}
+SELECT "Contract", {', '.join(
+    """CAST(COALESCE(SUM(CAST("TotalDuration" AS DECIMAL(18,2)) * CAST(0.00037 AS DECIMAL(6,5))) """
+    f"""FILTER (WHERE "Type" = '{c}'), 0) AS DOUBLE) AS "Total_{c}\""""
+    for c in WATCH
+)} FROM valid GROUP BY "Contract\""""
+
 ORACLE: dict[str, str] = {
+    "watch_totals_fine": _FINE_TOTALS,
+    "days_read": f"""WITH {VIEW_LOG}
+        SELECT "Date", true AS read FROM view_log WHERE "AppName" IS NULL OR "AppName" <> 'CHILD' GROUP BY 1
+        UNION ALL SELECT DISTINCT "Date" || '_lost', false FROM view_log WHERE "AppName" = 'CHILD'""",
+    "other_rules_content": _OTHER_VIEWS,
+    "other_rules_search": _OTHER_SEARCHES,
     "scan_daily_json": f'WITH {VIEW_LOG} SELECT "Contract", "AppName", "TotalDuration", "Date" FROM view_log',
     "flatten_envelope": f'WITH {VIEW_LOG} SELECT "Contract", "AppName" FROM view_log',
     "day_from_file": f"""WITH {VIEW_LOG}

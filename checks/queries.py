@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from couchlog import operators as ops
 from couchlog import plans, sources
+from couchlog.rules import SearchRules, ViewRules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +174,33 @@ def content_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.content_job(spark, _json_days(spark, sf_dir), target)
 
 
+def watch_totals_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations with seven digits after the point."""
+    return ops.watch_totals(fixtures.view_log_fine(spark, sf_dir))
+
+
+def days_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the broken layout: those whose every line is broken were not read."""
+    seen: list[DataFrame] = []
+    root = _broken_days(spark, sf_dir)
+    plans.content_job(spark, root, fixtures.raw_folder(spark, "content_job"), on_days=lambda df: seen.append(df))
+    return sources.days_read(spark, root, sources.read_daily_json(spark, root))
+
+
+OTHER_VIEWS = ViewRules({"Screen": ["CHANNEL", "VOD"], "Rest": ["RELAX", "CHILD", "BHD"]}, invalid_contract="1", week_limit=1, month_limit=3)
+OTHER_SEARCHES = SearchRules({"News": "vtv", "Letters": "[aeiou]{2}"}, default="None", day_limit=10, unknown="?", no_plan="-")
+
+
+def other_rules_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The viewing profile of another platform: other categories, codes, contract and limits."""
+    return ops.content_profile(_views(spark, sf_dir), rules=OTHER_VIEWS)
+
+
+def other_rules_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search profile of another platform: other patterns, limit and stand-ins."""
+    return ops.search_profile(fixtures.search_log(spark, sf_dir), OTHER_SEARCHES)
+
+
 # --- search --------------------------------------------------------------------------------------
 
 
@@ -225,9 +253,7 @@ def attach_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fixtures.raw_folder(spark, "search_job")
     days = _search_days(spark, sf_dir)
-    return plans.search_job(
-        spark, days, fixtures.SEARCH_START, fixtures.SEARCH_END, target, fields=fixtures.SEARCH_FIELDS
-    )
+    return plans.search_job(spark, days, fixtures.SEARCH_START, fixtures.SEARCH_END, target)
 
 
 # --- reports -------------------------------------------------------------------------------------
@@ -235,17 +261,17 @@ def search_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_top_taste_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = plans.distribution(_content(spark, sf_dir), "Taste", "taste", k=10)
-    return plans.ranked(top, [F.col("count").desc(), F.col("taste")])
+    return plans.ranked(top, [F.col("count").desc(), F.col("taste")], 10)
 
 
 def report_top_contracts_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = plans.top_contracts(_content(spark, sf_dir))
-    return plans.ranked(top, [F.col("total_hours").desc(), F.col("contract")])
+    return plans.ranked(top, [F.col("total_hours").desc(), F.col("contract")], 20)
 
 
 def report_top_users_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = plans.top_users(_search(spark, sf_dir), flag=True)
-    return plans.ranked(top, [F.col("SearchCount").desc(), F.col("user_id")])
+    return plans.ranked(top, [F.col("SearchCount").desc(), F.col("user_id")], 20)
 
 
 def _content_report(name: str) -> Query:
@@ -275,6 +301,10 @@ QUERIES: dict[str, Query] = {
     "content_activity_month": content_activity_month,
     "content_profile": _content,
     "content_job": content_job,
+    "watch_totals_fine": watch_totals_fine,
+    "days_read": days_read,
+    "other_rules_content": other_rules_content,
+    "other_rules_search": other_rules_search,
     "classify_keyword": classify_keyword,
     "filter_users": filter_users,
     "search_behavior": search_behavior,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ def repeated(log: DataFrame, times: int, customer: str) -> DataFrame:
 
 
 def main(views: int, searches: int, sf_dir: str) -> None:
-    spark = bench.session()
+    spark = bench.session(tempfile.mkdtemp(prefix="couchlog-scale-"))
     folder = fixtures.raw_folder(spark, "scale")
     report = {}
     if views:
@@ -43,7 +44,7 @@ def main(views: int, searches: int, sf_dir: str) -> None:
         root = fixtures.write_search_days(log, f"{folder}/searches")
         span = (fixtures.SEARCH_START, fixtures.SEARCH_END)
         start = time.perf_counter()
-        profile = plans.search_job(spark, root, *span, f"{folder}/search", fields=fixtures.SEARCH_FIELDS)
+        profile = plans.search_job(spark, root, *span, f"{folder}/search")
         report["search_job"] = {"sec": round(time.perf_counter() - start, 1), "profiles": profile.count()}
         hot = profile.filter("user_id = 'hot'").head()
         report["search_job"]["hot"] = None if hot is None else hot.asDict()

@@ -8,19 +8,23 @@ from couchlog.functions.columns import (
     share_percent,
     top_label,
 )
-from couchlog.functions.exact import exact_avg, exact_sum, units
+from couchlog.functions.exact import FINE, UNITS, checked_sum, exact_avg, exact_sum, parts, total
 
 __all__ = [
+    "FINE",
+    "UNITS",
     "activity_tier",
     "by_regex",
     "by_value",
+    "checked_sum",
     "combo_label",
     "exact_avg",
     "exact_sum",
     "half_up",
+    "parts",
     "plan_name",
     "ratio",
     "share_percent",
     "top_label",
-    "units",
+    "total",
 ]

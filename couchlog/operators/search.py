@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from couchlog import rules
 from couchlog.functions import activity_tier, by_regex, plan_name, ratio, top_label
+from couchlog.rules import SEARCHES, SearchRules
 
 
 def filter_users(search_log: DataFrame) -> DataFrame:
@@ -16,52 +14,85 @@ def filter_users(search_log: DataFrame) -> DataFrame:
     return search_log.filter(F.col("user_id") != "")
 
 
-def classify_keyword(
-    search_log: DataFrame, patterns: Mapping[str, str] = rules.KEYWORD_PATTERNS
-) -> DataFrame:
+def classify_keyword(search_log: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
     """Add the content category of the keyword."""
-    return search_log.withColumn(
-        "ContentType", by_regex(F.col("keyword"), patterns, rules.DEFAULT_KEYWORD)
-    )
+    return search_log.withColumn("ContentType", by_regex(F.col("keyword"), rules.patterns, rules.default))
 
 
 def _is(category: str) -> Column:
     return F.col("category") == category
 
 
-def search_behavior(search_log: DataFrame) -> DataFrame:
-    """Search counts, distinct keywords and days, enters, quits and quit rate per user."""
-    return (
-        search_log.groupBy("user_id")
+def _entries() -> Column:
+    """The non-null plan entries of an event; null where there is no list."""
+    return F.filter("userPlansMap", lambda plan: plan.isNotNull())
+
+
+def _numbers(search_log: DataFrame, rules: SearchRules) -> DataFrame:
+    """The counting columns of the profile: all state is whole numbers, so both steps hash.
+
+    Events are counted per user and keyword, and per user and day, in one pass; a second step folds
+    those counts per user. Keywords are classified once per user and keyword.
+    """
+    counts = (
+        search_log.groupingSets([["user_id", "keyword"], ["user_id", "Date"]], "user_id", "keyword", "Date")
         .agg(
-            F.count("eventID").alias("SearchCount"),
-            F.count_distinct("keyword").alias("UniqueKeyword"),
-            F.count_distinct("Date").alias("SearchDays"),
-            F.count_if(_is("enter")).alias("SearchEnter"),
-            F.count_if(_is("quit")).alias("SearchQuit"),
+            (F.grouping("keyword") == 0).alias("by_keyword"),
+            F.count("*").alias("n"),
+            F.count("eventID").alias("searches"),
+            F.count_if(_is("enter")).alias("enters"),
+            F.count_if(_is("quit")).alias("quits"),
+            F.sum(F.coalesce(F.size(_entries()), F.lit(0)).cast("bigint")).alias("entries"),
         )
-        .withColumn("QuitRate", ratio(F.col("SearchQuit"), F.col("SearchCount"), 4))
+        .transform(classify_keyword, rules)
     )
+    by_keyword = F.col("by_keyword")
 
+    def per_day(name: str) -> Column:
+        return F.sum(F.when(by_keyword, 0).otherwise(F.col(name)))
 
-def interests(search_log: DataFrame) -> DataFrame:
-    """Searches per user and content category."""
-    return (
-        classify_keyword(search_log)
-        .groupBy("user_id")
-        .agg(
-            *[
-                F.count_if(F.col("ContentType") == c).alias(f"Interest_{c}")
-                for c in rules.SEARCH_CATEGORIES
-            ]
-        )
+    def interest(category: str) -> Column:
+        return F.sum(F.when(by_keyword & (F.col("ContentType") == category), F.col("n")).otherwise(0))
+
+    return counts.groupBy("user_id").agg(
+        per_day("searches").alias("SearchCount"),
+        F.count("keyword").alias("UniqueKeyword"),
+        F.count("Date").alias("SearchDays"),
+        per_day("enters").alias("SearchEnter"),
+        per_day("quits").alias("SearchQuit"),
+        per_day("entries").alias("PlanCount"),
+        *[interest(c).alias(f"Interest_{c}") for c in rules.categories],
+    )
+
+
+def search_behavior(search_log: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
+    """Search counts, distinct keywords and days, enters, quits and quit rate per user."""
+    return _numbers(search_log, rules).select(
+        "user_id",
+        "SearchCount",
+        "UniqueKeyword",
+        "SearchDays",
+        "SearchEnter",
+        "SearchQuit",
+        ratio(F.col("SearchQuit"), F.col("SearchCount"), 4).alias("QuitRate"),
     )
 
 
-def top_interest(counts: DataFrame) -> DataFrame:
+def interests(search_log: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
+    """Searches per user and content category."""
+    return _numbers(search_log, rules).select("user_id", *[f"Interest_{c}" for c in rules.categories])
+
+
+def top_interest(counts: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
     """Favourite category of each user, from the `Interest_*` columns."""
-    cols = [F.col(f"Interest_{c}") for c in rules.SEARCH_CATEGORIES]
-    return counts.withColumn("TopInterest", top_label(cols, rules.SEARCH_CATEGORIES))
+    cols = [F.col(f"Interest_{c}") for c in rules.categories]
+    return counts.withColumn("TopInterest", top_label(cols, rules.categories))
+
+
+def _favourite(value: str) -> Column:
+    """Most frequent of the counted values; on a tie the smallest."""
+    counted = F.struct(-F.col("n"), F.col(value).alias("value"))
+    return F.min(F.when(F.col(value).isNotNull(), counted))["value"]
 
 
 def main_value(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
@@ -70,8 +101,7 @@ def main_value(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     Values are counted first, so that no task holds all values of a key however many there are.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("n"))
-    best = F.min(F.struct(-F.col("n"), F.col(value).alias("value")))
-    return counts.groupBy(key).agg(best["value"].alias(alias))
+    return counts.groupBy(key).agg(_favourite(value).alias(alias))
 
 
 def explode_plans(search_log: DataFrame) -> DataFrame:
@@ -81,131 +111,53 @@ def explode_plans(search_log: DataFrame) -> DataFrame:
     )
 
 
-def _with_plan(search_log: DataFrame) -> DataFrame:
-    """Per event: name of the first non-null plan entry, day of that plan, number of entries.
+def _plans(search_log: DataFrame) -> DataFrame:
+    """First plan of each user that holds one: of the earliest day; within the day of the lowest event
+    id (missing ids last; numbers by value, text as text); then the smallest name.
 
-    Events without a plan get no day, so that they make one group per user and not one per day.
+    Only events with a plan take part; an event's plan is its first non-null entry.
     """
-    entries = F.filter("userPlansMap", lambda plan: plan.isNotNull())
-    held = F.col("userPlansMap").isNotNull()
-    return (
-        search_log.withColumn("held", F.when(held, entries))
-        .withColumn("plan", plan_name(F.get("held", F.lit(0))))
-        .withColumn("plan_day", F.when(F.col("plan").isNotNull(), F.col("Date")))
-        .withColumn("entries", F.when(held, F.size("held")).otherwise(0).cast("long"))
-    )
-
-
-def plan_summary(search_log: DataFrame) -> DataFrame:
-    """Plan name, number of plan entries over all events, and whether there is any, per user.
+    held = search_log.withColumn("plan", plan_name(F.get(_entries(), F.lit(0)))).filter("plan IS NOT NULL")
+    seen = held.groupBy("user_id", "Date", "plan").agg(F.min("eventID").alias("event"))
+    order = F.struct("Date", F.col("event").isNull().alias("no_event"), "event", "plan")
+    return seen.groupBy("user_id").agg(F.min(order)["plan"].alias("PlanName"))
 
-    The name is that of the earliest day; within the day of the lowest event id (missing ids
-    last); then the smallest name.
-    """
-    seen = (
-        _with_plan(search_log)
-        .groupBy("user_id", "plan_day", "plan")
-        .agg(F.min("eventID").alias("event"), F.sum("entries").alias("entries"))
-    )
-    return (
-        seen.groupBy("user_id")
-        .agg(_earliest_plan().alias("PlanName"), F.sum("entries").alias("PlanCount"))
-        .withColumn("HasPlan", F.col("PlanCount") > 0)
-    )
 
+def plan_summary(search_log: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
+    """First plan name (see `_plans`), number of plan entries over all events, and whether there is any."""
+    counts = _numbers(search_log, rules).select("user_id", "PlanCount")
+    named = counts.join(_plans(search_log), "user_id", "left").select("user_id", "PlanName", "PlanCount")
+    return named.withColumn("HasPlan", F.col("PlanCount") > 0)
 
-def _earliest_plan() -> Column:
-    order = F.struct("plan_day", F.col("event").isNull().alias("no_event"), "event", "plan")
-    return F.min(F.when(F.col("plan").isNotNull(), order))["plan"]
 
-
-def search_activity(search_log: DataFrame, limit: int = rules.SEARCH_DAY_LIMIT) -> DataFrame:
+def search_activity(search_log: DataFrame, limit: int | None = None, rules: SearchRules = SEARCHES) -> DataFrame:
     """Distinct search days per user and the activity level."""
-    days = search_log.groupBy("user_id").agg(F.count_distinct("Date").alias("SearchDays"))
+    limit = rules.day_limit if limit is None else limit
+    days = _numbers(search_log, rules).select("user_id", "SearchDays")
     return days.withColumn("SearchActive", activity_tier(F.col("SearchDays"), limit, inclusive=True))
 
 
-def _numbers(search_log: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    """The counting columns of the profile: all state is whole numbers, so both steps hash."""
-    counts = (
-        search_log.groupingSets(
-            [["user_id", "keyword"], ["user_id", "Date"]], "user_id", "keyword", "Date"
-        )
-        .agg(
-            (F.grouping("keyword") == 0).alias("by_keyword"),
-            F.count("*").alias("n"),
-            F.count("eventID").alias("searches"),
-            F.count_if(_is("enter")).alias("enters"),
-            F.count_if(_is("quit")).alias("quits"),
-        )
-        .transform(classify_keyword, patterns)
-    )
-    by_keyword = F.col("by_keyword")
-
-    def per_day(name: str) -> Column:
-        return F.sum(F.when(by_keyword, 0).otherwise(F.col(name)))
-
-    def interest(category: str) -> Column:
-        return F.sum(F.when(by_keyword & (F.col("ContentType") == category), F.col("n")).otherwise(0))
-
-    return counts.groupBy("user_id").agg(
-        per_day("searches").alias("SearchCount"),
-        F.count("keyword").alias("UniqueKeyword"),
-        F.count("Date").alias("SearchDays"),
-        per_day("enters").alias("SearchEnter"),
-        per_day("quits").alias("SearchQuit"),
-        *[interest(c).alias(f"Interest_{c}") for c in rules.SEARCH_CATEGORIES],
-    )
-
-
-def _names(search_log: DataFrame) -> DataFrame:
-    """The text columns of the profile (platform, provider, plan) and the plan entries."""
-    counts = (
-        _with_plan(search_log)
-        .groupingSets(
-            [["user_id", "platform"], ["user_id", "proxy_isp"], ["user_id", "plan_day", "plan"]],
-            "user_id",
-            "platform",
-            "proxy_isp",
-            "plan_day",
-            "plan",
-        )
-        .agg(
-            (F.grouping("plan") == 0).alias("by_plan"),
-            F.count("*").alias("n"),
-            F.sum("entries").alias("entries"),
-            F.min("eventID").alias("event"),
-        )
-    )
-
-    def favourite(value: str) -> Column:
-        counted = F.struct(-F.col("n"), F.col(value).alias("value"))
-        return F.min(F.when(F.col(value).isNotNull(), counted))["value"]
-
-    return counts.groupBy("user_id").agg(
-        favourite("platform").alias("platform"),
-        favourite("proxy_isp").alias("isp"),
-        _earliest_plan().alias("plan"),
-        F.sum(F.when(F.col("by_plan"), F.col("entries")).otherwise(0)).alias("PlanCount"),
-    )
+def _favourites(search_log: DataFrame) -> DataFrame:
+    """Favourite platform and provider. The raw rows are only counted, which hashes; text is compared
+    among the counts."""
+    counts = search_log.groupingSets(
+        [["user_id", "platform"], ["user_id", "proxy_isp"]], "user_id", "platform", "proxy_isp"
+    ).agg(F.count("*").alias("n"))
+    return counts.groupBy("user_id").agg(_favourite("platform").alias("platform"), _favourite("proxy_isp").alias("isp"))
 
 
-def search_profile(
-    search_log: DataFrame, patterns: Mapping[str, str] = rules.KEYWORD_PATTERNS
-) -> DataFrame:
+def search_profile(search_log: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
     """One profile row per user.
 
-    Two aggregates over disjoint columns, numbers and names, joined one to one on the partitioning
-    they already have. Each runs in two steps: a grouping-sets aggregate counts events per user and
-    keyword, day, platform, provider or plan; a second one folds those counts per user. All state
-    is of fixed size and both steps combine on the map side, so a hot user or value does not end up
-    in one task. Names are kept apart because text cannot be updated in a hash aggregate's buffer:
-    in one aggregate every count would have to be sorted. Keywords are classified once per user and
-    keyword instead of once per event.
+    Three aggregates over disjoint columns (numbers, favourites, plans), joined one to one on the
+    partitioning they already have. Each counts first and folds the counts per user in a second step.
+    All state is of fixed size and both steps combine on the map side, so a hot user or value does
+    not end up in one task. Text stays out of the counting step, because it cannot be updated in a
+    hash aggregate's buffer: only events that hold a plan are sorted, and only if their id is text.
     """
     log = filter_users(search_log)
-    users = _numbers(log, patterns).join(_names(log), "user_id")
-    return top_interest(users).select(
+    users = _numbers(log, rules).join(_favourites(log), "user_id").join(_plans(log), "user_id", "left")
+    return top_interest(users, rules).select(
         "user_id",
         "SearchCount",
         "UniqueKeyword",
@@ -213,12 +165,12 @@ def search_profile(
         "SearchEnter",
         "SearchQuit",
         ratio(F.col("SearchQuit"), F.col("SearchCount"), 4).alias("QuitRate"),
-        *[f"Interest_{c}" for c in rules.SEARCH_CATEGORIES],
+        *[f"Interest_{c}" for c in rules.categories],
         "TopInterest",
-        F.coalesce("platform", F.lit(rules.UNKNOWN)).alias("MainPlatform"),
-        F.coalesce("isp", F.lit(rules.UNKNOWN)).alias("MainISP"),
-        F.coalesce("plan", F.lit(rules.NO_PLAN)).alias("PlanName"),
+        F.coalesce("platform", F.lit(rules.unknown)).alias("MainPlatform"),
+        F.coalesce("isp", F.lit(rules.unknown)).alias("MainISP"),
+        F.coalesce("PlanName", F.lit(rules.no_plan)).alias("PlanName"),
         "PlanCount",
         (F.col("PlanCount") > 0).alias("HasPlan"),
-        activity_tier(F.col("SearchDays"), rules.SEARCH_DAY_LIMIT, inclusive=True).alias("SearchActive"),
+        activity_tier(F.col("SearchDays"), rules.day_limit, inclusive=True).alias("SearchActive"),
     )

@@ -7,139 +7,124 @@ row per map task and day, and distinct days are a plain row count in the second
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from couchlog import rules
-from couchlog.functions import activity_tier, by_value, combo_label, top_label, units
+from couchlog.functions import FINE, UNITS, activity_tier, by_value, checked_sum, combo_label, parts, top_label, total
+from couchlog.rules import VIEWS, ViewRules
+from couchlog.sources.tables import stage, stage_root
 
-Codes = Mapping[str, Sequence[str]]
+_FINE = "_fine"
 
 
-def classify_app(view_log: DataFrame, codes: Codes = rules.APP_CODES, name: str = "Type") -> DataFrame:
-    """Add the category of the app code; unlisted codes and null become `Other`."""
-    return view_log.withColumn(name, by_value(F.col("AppName"), codes, rules.UNKNOWN_APP))
+def classify_app(view_log: DataFrame, rules: ViewRules = VIEWS, name: str = "Type") -> DataFrame:
+    """Add the category of the app code; unlisted codes and null become the unknown one."""
+    return view_log.withColumn(name, by_value(F.col("AppName"), rules.codes, rules.unknown_app))
 
 
-def _valid(codes: Codes) -> Column:
+def _valid(rules: ViewRules) -> Column:
     """Real contract and known app code, as predicates that a Parquet scan can take over."""
-    listed = [code for values in codes.values() for code in values]
-    return (F.col("Contract") != rules.INVALID_CONTRACT) & F.col("AppName").isin(listed)
-
-
-def filter_contract(view_log: DataFrame, codes: Codes = rules.APP_CODES) -> DataFrame:
-    """Drop contract '0' and null, and rows whose app code is in no category."""
-    return view_log.filter(_valid(codes))
-
-
-def _category_sums(rows: DataFrame, codes: Codes) -> tuple[dict[str, Column], int]:
-    """Sum of the duration per category, in units, and the number of units in a second."""
-    amount, scale = units(rows, "TotalDuration")
-    sums = {
-        c: F.sum(F.when(F.col("AppName").isin(list(codes[c])), amount)) for c in rules.WATCH_CATEGORIES
-    }
-    return sums, scale
+    listed = [code for values in rules.codes.values() for code in values]
+    return (F.col("Contract") != rules.invalid_contract) & F.col("AppName").isin(listed)
 
 
-def _seconds(total: Column, scale: Column | int) -> Column:
-    return F.coalesce(total.cast("double") / scale, F.lit(0.0))
+def filter_contract(view_log: DataFrame, rules: ViewRules = VIEWS) -> DataFrame:
+    """Drop the invalid contract and null, and rows whose app code is in no category."""
+    return view_log.filter(_valid(rules))
 
 
-def daily_totals(
-    view_log: DataFrame, codes: Codes = rules.APP_CODES, keep_invalid: bool = False
-) -> DataFrame:
-    """One row per contract and day: amount per category, and `Views`, the rows that count.
+def daily_totals(view_log: DataFrame, rules: ViewRules = VIEWS, keep_invalid: bool = False) -> DataFrame:
+    """One row per contract and day: the exact amount per category in two parts.
 
-    `Scale` amounts make a second. `keep_invalid` also keeps days on
-    which nothing counts, which `days_covered` needs.
+    `keep_invalid` adds one row without a contract for each day with rows that do not count, which
+    `days_covered` needs.
     """
-    rows = view_log if keep_invalid else filter_contract(view_log, codes)
-    sums, scale = _category_sums(rows, codes)
-    return (
-        rows.groupBy("Contract", "Date")
-        .agg(*[total.alias(c) for c, total in sums.items()], F.count_if(_valid(codes)).alias("Views"))
-        .withColumn("Scale", F.lit(scale))
-    )
+    rows = view_log if keep_invalid else filter_contract(view_log, rules)
+    contract = F.when(_valid(rules), F.col("Contract")) if keep_invalid else F.col("Contract")
+    units, fine = parts(rows, "TotalDuration")
+    sums = []
+    for c in rules.categories:
+        here = F.col("AppName").isin(list(rules.codes[c]))
+        sums += [checked_sum(F.when(here, units), UNITS).alias(c), checked_sum(F.when(here, fine), FINE).alias(c + _FINE)]
+    return rows.groupBy(contract.alias("Contract"), "Date").agg(*sums)
 
 
-def _contract_totals(daily: DataFrame) -> DataFrame:
-    return (
-        daily.filter((F.col("Views") > 0) & (F.col("Contract") != rules.INVALID_CONTRACT))
-        .groupBy("Contract")
-        .agg(
-            *[_seconds(F.sum(c), F.max("Scale")).alias(c) for c in rules.WATCH_CATEGORIES],
-            F.count("Date").alias("DayCount"),
-        )
-    )
+def _contract_totals(daily: DataFrame, rules: ViewRules) -> DataFrame:
+    totals = [
+        total(checked_sum(F.col(c), UNITS), checked_sum(F.col(c + _FINE), FINE)).alias(f"Total_{c}") for c in rules.categories
+    ]
+    return daily.filter("Contract IS NOT NULL").groupBy("Contract").agg(*totals, F.count("Date").alias("DayCount"))
 
 
-def watch_totals(view_log: DataFrame, codes: Codes = rules.APP_CODES) -> DataFrame:
+def watch_totals(view_log: DataFrame, rules: ViewRules = VIEWS) -> DataFrame:
     """Seconds per contract and category, categories without views 0."""
-    rows = filter_contract(view_log, codes)
-    sums, scale = _category_sums(rows, codes)
-    return rows.groupBy("Contract").agg(
-        *[_seconds(total, scale).alias(f"Total_{c}") for c, total in sums.items()]
-    )
+    return _contract_totals(daily_totals(view_log, rules), rules).drop("DayCount")
 
 
-def _totals() -> list[Column]:
-    return [F.col(f"Total_{c}") for c in rules.WATCH_CATEGORIES]
+def _totals(rules: ViewRules) -> list[Column]:
+    return [F.col(f"Total_{c}") for c in rules.categories]
 
 
-def most_watch(totals: DataFrame) -> DataFrame:
+def most_watch(totals: DataFrame, rules: ViewRules = VIEWS) -> DataFrame:
     """Favourite category of each contract."""
-    return totals.withColumn("MostWatch", top_label(_totals(), rules.WATCH_CATEGORIES))
+    return totals.withColumn("MostWatch", top_label(_totals(rules), rules.categories))
 
 
-def taste(totals: DataFrame) -> DataFrame:
+def taste(totals: DataFrame, rules: ViewRules = VIEWS) -> DataFrame:
     """All categories a contract has watched, as one label."""
-    labels = [c.replace("_", " ") for c in rules.WATCH_CATEGORIES]
-    return totals.withColumn("Taste", combo_label(_totals(), labels, rules.NO_TASTE))
+    return totals.withColumn("Taste", combo_label(_totals(rules), rules.labels, rules.no_taste))
 
 
 def days_covered(view_log: DataFrame) -> DataFrame:
-    """One row: number of days read, before any filter."""
+    """One row: number of days read, before any filter. Files with the same day name are one day."""
     return view_log.agg(F.count_distinct("Date").alias("days"))
 
 
-def day_limit(log_or_daily: DataFrame) -> Column:
+def day_limit(log_or_daily: DataFrame, rules: ViewRules = VIEWS) -> Column:
     """Activity limit for the number of days read, as a scalar subquery."""
-    limit = F.when(F.col("days") <= rules.WEEK_DAYS, rules.WEEK_LIMIT).otherwise(rules.MONTH_LIMIT)
+    limit = F.when(F.col("days") <= rules.week_days, rules.week_limit).otherwise(rules.month_limit)
     return days_covered(log_or_daily).select(limit.alias("day_limit")).scalar()
 
 
-def content_activity(view_log: DataFrame, limit: Column | int | None = None) -> DataFrame:
+def _staged_daily(view_log: DataFrame, rules: ViewRules) -> DataFrame:
+    daily = daily_totals(view_log, rules, keep_invalid=True)
+    return stage(daily, f"{stage_root(view_log.sparkSession)}/daily")
+
+
+def content_activity(view_log: DataFrame, limit: Column | int | None = None, rules: ViewRules = VIEWS) -> DataFrame:
     """Distinct viewing days per contract and the activity level.
 
-    Without a limit, 4 days for up to a week of log and 15 beyond.
+    Without a limit, the week's for up to a week of log and the month's beyond, see `content_profile`.
     """
-    limit = day_limit(view_log) if limit is None else limit
-    days = filter_contract(view_log).groupBy("Contract").agg(F.count_distinct("Date").alias("DayCount"))
+    if limit is None:
+        daily = _staged_daily(view_log, rules)
+        limit = day_limit(daily, rules)
+    else:
+        daily = daily_totals(view_log, rules)
+    days = _contract_totals(daily, rules).select("Contract", "DayCount")
     return days.withColumn("Active", activity_tier(F.col("DayCount"), limit, inclusive=False))
 
 
-def profile_from_daily(daily: DataFrame, limit: Column | int) -> DataFrame:
-    """The nine profile columns, from the rows of `daily_totals`."""
-    totals = [F.col(c) for c in rules.WATCH_CATEGORIES]
-    labels = [c.replace("_", " ") for c in rules.WATCH_CATEGORIES]
-    return _contract_totals(daily).select(
+def profile_from_daily(daily: DataFrame, limit: Column | int, rules: ViewRules = VIEWS) -> DataFrame:
+    """The profile columns, from the rows of `daily_totals`."""
+    return _contract_totals(daily, rules).select(
         "Contract",
-        *[F.col(c).alias(f"Total_{c}") for c in rules.WATCH_CATEGORIES],
-        top_label(totals, rules.WATCH_CATEGORIES).alias("MostWatch"),
-        combo_label(totals, labels, rules.NO_TASTE).alias("Taste"),
+        *_totals(rules),
+        top_label(_totals(rules), rules.categories).alias("MostWatch"),
+        combo_label(_totals(rules), rules.labels, rules.no_taste).alias("Taste"),
         activity_tier(F.col("DayCount"), limit, inclusive=False).alias("Active"),
     )
 
 
-def content_profile(
-    view_log: DataFrame, limit: Column | int | None = None, codes: Codes = rules.APP_CODES
-) -> DataFrame:
+def content_profile(view_log: DataFrame, limit: Column | int | None = None, rules: ViewRules = VIEWS) -> DataFrame:
     """One profile row per contract.
 
-    Without a limit the log is read a second time, for its day column only. Where reading is dear
-    (JSON), `couchlog.plans.content_job` reads once and keeps the daily totals instead.
+    Without a limit, it follows from the number of days in the log. The log is then read once, for the
+    daily totals, which are kept as Parquet in the shared folder; limit and profile come from those.
+    The folder is the caller's to clear, like all of the shared folder; `couchlog.plans.content_job`
+    clears its own.
     """
-    limit = day_limit(view_log) if limit is None else limit
-    return profile_from_daily(daily_totals(view_log, codes), limit)
+    if limit is not None:
+        return profile_from_daily(daily_totals(view_log, rules), limit, rules)
+    daily = _staged_daily(view_log, rules)
+    return profile_from_daily(daily, day_limit(daily, rules), rules)

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from couchlog.operators import daily_totals, day_limit, profile_from_daily, search_profile
+from couchlog.rules import SEARCHES, VIEWS, SearchRules, ViewRules
 from couchlog.sources import (
     SEARCH_SCHEMA,
     VIEW_SCHEMA,
     NoDataError,
+    days_read,
     read_daily_json,
     read_parquet_days,
     stage,
-    stage_root,
+    staging,
     write_table,
 )
 
@@ -27,17 +29,26 @@ def content_job(
     target: str,
     sink: Sink | None = None,
     fields: str = VIEW_SCHEMA,
+    rules: ViewRules = VIEWS,
+    limit: Column | int | None = None,
+    on_days: Sink | None = None,
 ) -> DataFrame:
     """Read all viewing days under `logs`, write the contract profiles to `target`, return them.
 
-    The raw JSON is parsed once: the daily totals are staged, and both the activity limit (it
-    depends on the number of days read) and the profile are taken from them.
+    The raw JSON is parsed once: the daily totals are staged, and the activity limit (it depends on
+    the number of days read, unless it is given), the profile and the report of days are taken from
+    them. They are deleted at the end, also if the job fails. `on_days` gets one row per day entry,
+    (Date, read): a day without a readable record was not read.
     """
     log = read_daily_json(spark, logs, fields)
-    daily = stage(daily_totals(log, keep_invalid=True), f"{stage_root(spark)}/daily")
-    if daily.isEmpty():
-        raise NoDataError(f"no readable day in {logs}")
-    profile = write_table(profile_from_daily(daily, day_limit(daily)), target)
+    with staging(spark) as folder:
+        daily = stage(daily_totals(log, rules, keep_invalid=True), f"{folder}/daily")
+        if on_days is not None:
+            on_days(days_read(spark, logs, daily))
+        if daily.isEmpty():
+            raise NoDataError(f"no readable day in {logs}")
+        limit = day_limit(daily, rules) if limit is None else limit
+        profile = write_table(profile_from_daily(daily, limit, rules), target)
     if sink is not None:
         sink(profile)
     return profile
@@ -51,10 +62,18 @@ def search_job(
     target: str,
     sink: Sink | None = None,
     fields: str | None = SEARCH_SCHEMA,
+    rules: SearchRules = SEARCHES,
+    on_days: Sink | None = None,
 ) -> DataFrame:
-    """Read the search days from start to end, write the user profiles to `target`, return them."""
+    """Read the search days from start to end, write the user profiles to `target`, return them.
+
+    `on_days` gets one row per day folder under `logs`, (Date, read): those out of the range, and
+    those without a row, were not read.
+    """
     log = read_parquet_days(spark, logs, start, end, fields)
-    profile = write_table(search_profile(log), target)
+    if on_days is not None:
+        on_days(days_read(spark, logs, log))
+    profile = write_table(search_profile(log, rules), target)
     if sink is not None:
         sink(profile)
     return profile

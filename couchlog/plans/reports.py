@@ -32,9 +32,10 @@ def distribution(
     return counts if k is None else counts.limit(k)
 
 
-def ranked(top: DataFrame, order: Sequence[Column], podium: int = 3) -> DataFrame:
-    """Rank 1..n and a mark for the first three. `top` is a top-k table: the single window
-    partition holds k rows."""
+def ranked(rows: DataFrame, order: Sequence[Column], k: int, podium: int = 3) -> DataFrame:
+    """The first k rows with rank 1..k and a mark for the first three. The single window partition
+    holds those k rows."""
+    top = rows.orderBy(*order).limit(k)
     rank = F.row_number().over(Window.orderBy(*order)).cast("long")
     return top.withColumn("rank", rank).withColumn("is_top3", F.col("rank") <= podium)
 
@@ -48,6 +49,7 @@ def _tier(column: str, value: str) -> Column:
 _WATCH_NAMES = [c.lower() for c in rules.WATCH_CATEGORIES]
 
 
+# The names of report columns below are those that the dashboard reads.
 def _watch_hours() -> dict[str, Column]:
     return {
         f"{name}_h": half_up(exact_sum(F.col(f"Total_{c}")) / 3600, 1)

@@ -1,9 +1,14 @@
 """The TV platform's configuration: categories, app codes, keyword patterns, labels, limits.
 
-Everything here is a fixed value. Operators take these as parameters, so another platform
-needs another set of rules and no new code.
+`VIEWS` and `SEARCHES` hold all of it. Operators, profiles, jobs and reports take another
+`ViewRules` or `SearchRules` as their `rules` argument, so another platform needs no new code.
 """
 
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
 # Viewing categories in tie-break order.
 WATCH_CATEGORIES = ["Giai_Tri", "Phim_Truyen", "The_Thao", "Thieu_Nhi", "Truyen_Hinh"]
 
@@ -18,6 +23,7 @@ APP_CODES = {
     "Phim_Truyen": ["FIMS", "VOD"],
     "The_Thao": ["KPLUS", "SPORT"],
 }
+# Category of an unlisted app code, contract that is none.
 UNKNOWN_APP = "Other"
 INVALID_CONTRACT = "0"
 
@@ -28,6 +34,7 @@ KEYWORD_PATTERNS = {
     "ThieuNhi": r"siêu nhân|naruto|boruto|fairy tail|doraemon|conan|pokemon|hoạt hình|anime|thiếu nhi",
     "Phim": r"phim|tập \d|season|episode|ep\.|movie|drama",
 }
+# Fixed value: category of a keyword that no pattern matches.
 DEFAULT_KEYWORD = "GiaiTri"
 
 # Activity limits. Viewing is High above the limit, search is High from it on.
@@ -49,3 +56,48 @@ WATCH_LABELS = ["Giải Trí", "Phim Truyện", "Thể Thao", "Thiếu Nhi", "Tr
 SEARCH_LABELS = ["Truyền Hình", "Thể Thao", "Thiếu Nhi", "Phim", "Giải Trí"]
 ACTIVE_LABELS = ["High Active", "Low Active"]
 PLAN_LABELS = ["Có gói cước", "Không có gói"]
+
+
+@dataclass(frozen=True)
+class ViewRules:
+    """How views are counted. `categories` is the tie-break order; all keys of `codes` if left out."""
+
+    codes: Mapping[str, Sequence[str]]
+    categories: Sequence[str] = ()
+    unknown_app: str = UNKNOWN_APP
+    invalid_contract: str = INVALID_CONTRACT
+    no_taste: str = NO_TASTE
+    week_days: int = WEEK_DAYS
+    week_limit: int = WEEK_LIMIT
+    month_limit: int = MONTH_LIMIT
+
+    def __post_init__(self):
+        object.__setattr__(self, "categories", list(self.categories or self.codes))
+        if set(self.categories) != set(self.codes):
+            raise ValueError("categories and codes have to name the same categories")
+
+    @property
+    def labels(self) -> list[str]:
+        return [c.replace("_", " ") for c in self.categories]
+
+
+@dataclass(frozen=True)
+class SearchRules:
+    """How searches are counted. `categories` is the tie-break order; the patterns' keys and `default` if left out."""
+
+    patterns: Mapping[str, str]
+    default: str = DEFAULT_KEYWORD
+    categories: Sequence[str] = ()
+    day_limit: int = SEARCH_DAY_LIMIT
+    no_plan: str = NO_PLAN
+    unknown: str = UNKNOWN
+
+    def __post_init__(self):
+        known = list(dict.fromkeys([*self.patterns, self.default]))
+        object.__setattr__(self, "categories", list(self.categories or known))
+        if set(self.categories) != set(known):
+            raise ValueError("categories have to be the patterns' and the default")
+
+
+VIEWS = ViewRules(APP_CODES, WATCH_CATEGORIES)
+SEARCHES = SearchRules(KEYWORD_PATTERNS, categories=SEARCH_CATEGORIES)

@@ -2,24 +2,41 @@ from couchlog.sources.days import (
     SEARCH_SCHEMA,
     VIEW_SCHEMA,
     NoDataError,
+    days_read,
     flatten_envelope,
     read_daily_json,
     read_parquet_days,
     with_day,
 )
-from couchlog.sources.tables import read_jdbc, read_table, stage, stage_root, write_jdbc, write_table
+from couchlog.sources.tables import (
+    count_jdbc,
+    read_jdbc,
+    read_table,
+    remove,
+    split_by_text,
+    stage,
+    stage_root,
+    staging,
+    write_jdbc,
+    write_table,
+)
 
 __all__ = [
     "NoDataError",
     "SEARCH_SCHEMA",
     "VIEW_SCHEMA",
+    "count_jdbc",
+    "days_read",
     "flatten_envelope",
     "read_daily_json",
     "read_jdbc",
     "read_parquet_days",
     "read_table",
+    "remove",
+    "split_by_text",
     "stage",
     "stage_root",
+    "staging",
     "with_day",
     "write_jdbc",
     "write_table",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VIEW_SCHEMA = "Contract string, AppName string, TotalDuration double"
+# Event ids are only ordered and counted, so they keep the type they are stored in; see `read_parquet_days`.
 SEARCH_SCHEMA = (
     "eventID string, user_id string, keyword string, category string, "
     "platform string, proxy_isp string, userPlansMap array<string>"
@@ -58,20 +59,38 @@ def flatten_envelope(envelopes: DataFrame) -> DataFrame:
     return envelopes.filter(F.col("_source").isNotNull()).select("_source.*", *kept)
 
 
+def _as_text(fields: T.StructType) -> T.StructType:
+    """Numbers as text: a number in quotes is then one too."""
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.NumericType) else f.dataType) for f in fields])
+
+
 def read_daily_json(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA) -> DataFrame:
     """All days `yyyymmdd*.json` of a folder in one scan, with their `Date`.
 
-    Fields are declared, so nothing is inferred and a field that a day lacks is null. A day
-    without a readable record gives no row, and so is not a day read.
+    Fields are declared, so nothing is inferred and a field that a day lacks is null. A declared
+    number may be written as text; what is no number is null. A day without a readable record gives
+    no row, and so is not a day read; `days_read` names it.
     """
     folder = DayFolder(spark, root)
     pattern = f"{EIGHT_DIGITS}*.json"
     entries = folder.entries(pattern)
     if not entries:
         raise NoDataError(f"no day file {pattern} in {root}")
-    envelope = T.StructType().add("_source", T.StructType.fromDDL(fields))
+    wanted = T.StructType.fromDDL(fields)
+    envelope = T.StructType().add("_source", _as_text(wanted))
     lines = spark.read.schema(envelope).json(f"{folder.root}/{pattern}")
-    return flatten_envelope(with_day(lines, folder, entries, ".json"))
+    rows = flatten_envelope(with_day(lines, folder, entries, ".json"))
+    cast = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in wanted if isinstance(f.dataType, T.NumericType)}
+    return rows.withColumns(cast) if cast else rows
+
+
+def days_read(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
+    """One row per day entry under `root`: Date, and whether the log (or its daily totals) has a row of it."""
+    folder = DayFolder(spark, root)
+    names = [name.replace(".json", "") for name in folder.entries(f"{EIGHT_DIGITS}*.json")] or folder.entries(EIGHT_DIGITS)
+    entries = spark.createDataFrame([(name,) for name in dict.fromkeys(names)], "Date string")
+    found = log.select("Date").distinct().withColumn("found", F.lit(True))
+    return entries.join(found, "Date", "left").select("Date", F.coalesce("found", F.lit(False)).alias("read"))
 
 
 def _calendar(start: str, end: str) -> set[str]:
@@ -91,13 +110,23 @@ def read_parquet_days(
     """The days from start to end (`yyyymmdd`, both included) in one scan, with their `Date`.
 
     Absent days are skipped; a day that is there but unreadable fails. Only the folders in the
-    range are opened. Columns are matched by name to the declared fields; pass None to take them
-    from the files, with `merge_schema` where they were added over time.
+    range are opened. Columns are matched by name to the declared fields. A column that is stored in
+    another type is read in that and cast to the declared one; `eventID` keeps the stored type, so
+    that numbers order by value and text as text. The type is taken from one file of the first day,
+    all days have to share it. Pass None to take all columns from the files, with `merge_schema` where
+    they were added over time.
     """
     wanted = _calendar(start, end)
     folder = DayFolder(spark, root)
     days = [name for name in folder.entries(EIGHT_DIGITS) if name in wanted]
     if not days:
         raise NoDataError(f"no day folder from {start} to {end} in {root}")
-    reader = spark.read.schema(fields) if fields else spark.read.option("mergeSchema", merge_schema)
-    return with_day(reader.parquet(*[f"{folder.root}/{day}" for day in days]), folder, days)
+    paths = [f"{folder.root}/{day}" for day in days]
+    if not fields:
+        return with_day(spark.read.option("mergeSchema", merge_schema).parquet(*paths), folder, days)
+    declared = T.StructType.fromDDL(fields)
+    stored = {f.name: f.dataType for f in spark.read.parquet(paths[0]).schema}
+    read_as = T.StructType([T.StructField(f.name, stored.get(f.name, f.dataType)) for f in declared])
+    rows = with_day(spark.read.schema(read_as).parquet(*paths), folder, days)
+    other = {f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in declared if f.name != "eventID" and stored.get(f.name, f.dataType) != f.dataType}
+    return rows.withColumns(other) if other else rows

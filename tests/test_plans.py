@@ -32,38 +32,53 @@ def shuffles(df):
     return re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan(df))
 
 
-def test_content_profile(logs):
+def test_content_profile(spark, logs):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     df = ops.content_profile(logs[0], 4)
     assert [re.sub(r"#\d+", "", keys) for keys in shuffles(df)] == ["Contract", "Contract, Date"]
     text = plan(df)
     assert "Join" not in text and "SortAggregate" not in text and "ObjectHash" not in text
-    assert "IsNotNull(Contract), Not(EqualTo(Contract,0)), In(AppName" in text
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan(df)).group(1)
+    assert "Not(EqualTo(Contract,0))" in pushed and "In(AppName" in pushed
     assert "unused" not in text
 
 
-def test_activity_limit_is_a_subquery_on_the_day_column(logs):
-    text = ops.content_profile(logs[0])._jdf.queryExecution().toString()
-    assert "ReadSchema: struct<Date:string>" in text
+def test_profile_without_a_limit_reads_staged_totals(logs):
+    df = ops.content_profile(logs[0])
+    text = df._jdf.queryExecution().toString()
+    assert df.inputFiles() and all("/daily/" in name for name in df.inputFiles())
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
-def test_search_profile(logs):
-    df = ops.search_profile(logs[1])
-    assert len(shuffles(df)) == 4
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_search_profile(logs, kind):
+    log = logs[1].withColumn("eventID", logs[1]["eventID"].cast(kind))
+    df = ops.search_profile(log)
+    assert len(shuffles(df)) == 6
     text = plan(df)
-    assert text.count("FileScan parquet") == 2
-    assert text.count("Not(EqualTo(user_id,))") == 2
+    assert text.count("FileScan parquet") == 3
+    assert text.count("Not(EqualTo(user_id,))") == 3
     assert "Join [user_id" in text and "NestedLoop" not in text and "Cartesian" not in text
     assert "ObjectHash" not in text and "unused" not in text
     scans = re.findall(r"ReadSchema: struct<(.*)>", text)
-    assert any("keyword" not in columns for columns in scans)
-    assert any("userPlansMap" not in columns for columns in scans)
+    assert sum("platform" in columns for columns in scans) == sum("keyword" in columns for columns in scans) == 1
+    assert not any("platform" in columns and "eventID" in columns for columns in scans)
 
 
-def test_search_profile_counts_in_hash_aggregates(logs):
-    """Only the names need sorting; the numbers, which hold the keywords, do not."""
-    numbers = [line for line in plan(ops.search_profile(logs[1])).splitlines() if "SearchCount" in line]
-    assert not any("SortAggregate" in line for line in numbers)
+def test_raw_rows_are_counted_by_hash(logs):
+    """Below the first shuffle nothing is sorted but events with a plan, and those only if their id is text."""
+    text_ids = logs[1].withColumn("eventID", logs[1]["eventID"].cast("string"))
+    for log, sorted_keys in ((logs[1], 0), (text_ids, 1)):
+        lines = plan(ops.search_profile(log)).splitlines()
+        partial = [line for line in lines if "SortAggregate" in line and "partial_" in line and "user_id" in line]
+        raw = [line for line in partial if "partial_min(eventID" in line]
+        assert len(raw) == sorted_keys
+        assert not any("partial_count" in line for line in partial)
+
+
+def test_behavior_expands_by_the_grouping_sets_only(logs):
+    text = plan(ops.search_behavior(logs[1]))
+    assert text.count("Expand") == 1 and text.count("FileScan parquet") == 1 and "SortAggregate" not in text
 
 
 def test_main_value_shuffles_counts_only(logs):

@@ -74,7 +74,7 @@ def test_quit_percent_and_flag(search):
 
 
 def test_rank_and_podium(content):
-    rows = plans.ranked(plans.top_contracts(content, 5), [F.col("total_hours").desc(), F.col("contract")]).collect()
+    rows = plans.ranked(plans.top_contracts(content, 5), [F.col("total_hours").desc(), F.col("contract")], 5).collect()
     assert [r["rank"] for r in sorted(rows, key=lambda r: r["rank"])] == [1, 2, 3, 4, 5]
     assert {r["contract"] for r in rows if r["is_top3"]} == {"C29", "C27", "C28"}
 

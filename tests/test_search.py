@@ -1,6 +1,7 @@
 import pytest
 
 from couchlog import operators as ops
+from couchlog.rules import SearchRules
 
 SEARCHES = (
     "eventID long, user_id string, keyword string, category string, platform string, "
@@ -128,3 +129,20 @@ def test_text_event_ids(spark):
     log = searches(spark, [{"userPlansMap": ["p:1"], "platform": "iOS"}])
     text = log.withColumn("eventID", log["eventID"].cast("string"))
     assert ops.search_profile(text).collect() == ops.search_profile(log).collect()
+
+
+def test_order_of_event_ids(spark):
+    """Numbers order by value, text as text."""
+    rows = [{"eventID": 9, "userPlansMap": ["nine"]}, {"eventID": 10, "userPlansMap": ["ten"]}]
+    log = searches(spark, rows)
+    assert ops.search_profile(log).head()["PlanName"] == "nine"
+    text = log.withColumn("eventID", log["eventID"].cast("string"))
+    assert ops.search_profile(text).head()["PlanName"] == "ten"
+
+
+def test_other_rules(spark):
+    rules = SearchRules({"News": "news"}, "Rest", day_limit=1, no_plan="-", unknown="?")
+    log = searches(spark, [{"keyword": "NEWS"}, {"keyword": "phim"}, {"keyword": "news"}])
+    got = ops.search_profile(log, rules).head()
+    assert (got["Interest_News"], got["Interest_Rest"], got["TopInterest"]) == (2, 1, "News")
+    assert (got["MainPlatform"], got["PlanName"], got["SearchActive"]) == ("?", "-", "High")

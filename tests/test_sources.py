@@ -145,6 +145,57 @@ def test_failing_sink_fails_the_job(spark, logs, tmp_path):
         plans.content_job(spark, logs, str(tmp_path / "profile"), sink=sink)
 
 
+def shared_folders(spark):
+    return set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+
+
+def test_nothing_staged_is_left(spark, logs, tmp_path):
+    before = shared_folders(spark)
+    plans.content_job(spark, logs, str(tmp_path / "profile"))
+    write(str(tmp_path / "empty"), "20220406.json", "{broken\n")
+    with pytest.raises(NoDataError):
+        plans.content_job(spark, str(tmp_path / "empty"), str(tmp_path / "none"))
+    assert shared_folders(spark) == before
+
+
+def test_no_shared_folder_is_an_error(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sources.stage_root(session)
+
+
+def test_durations_written_as_text(spark, tmp_path):
+    write(str(tmp_path), "20220404.json", "".join(LINE % ("C1", v) for v in ['"120"', "1.5", '"0.25"', '"x"', "null", '""', "1e2"]))
+    rows = sources.read_daily_json(spark, str(tmp_path))
+    assert dict(rows.dtypes)["TotalDuration"] == "double"
+    assert sorted(r["TotalDuration"] for r in rows.collect() if r["TotalDuration"] is not None) == [0.25, 1.5, 100.0, 120.0]
+    assert ops.content_profile(rows, 4).head()["Total_Phim_Truyen"] == 221.75
+
+
+def test_job_reports_the_days(spark, logs, tmp_path):
+    seen = {}
+    plans.content_job(spark, logs, str(tmp_path / "p"), on_days=lambda df: seen.update({r["Date"]: r["read"] for r in df.collect()}))
+    read = {"20220404": True, "20220404_b": True, "20220405": True, "20220409 x": True}
+    assert seen == read | {"20220406": False, "20220407": False, "20220408": False}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_search_job_takes_ids_as_stored(spark, tmp_path, kind):
+    rows = [(9, 7, "vtv", ["nine"]), (10, 7, "phim", ["ten"])]
+    df = spark.createDataFrame(rows, "eventID int, user_id int, keyword string, userPlansMap array<string>")
+    df.withColumn("eventID", df["eventID"].cast(kind)).write.parquet(str(tmp_path / "logs/20220601"))
+    seen = {}
+    profile = plans.search_job(
+        spark, str(tmp_path / "logs"), "20220601", "20220714", str(tmp_path / "target"),
+        on_days=lambda d: seen.update({r["Date"]: r["read"] for r in d.collect()}),
+    )
+    got = profile.head()
+    assert (got["user_id"], got["SearchCount"], got["PlanName"]) == ("7", 2, "ten" if kind == "string" else "nine")
+    assert seen == {"20220601": True}
+
+
 def test_stage_root_is_shared(spark):
     assert sources.stage_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert sources.stage_root(spark) != sources.stage_root(spark)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from couchlog import operators as ops
+from couchlog.rules import ViewRules
 
 VIEWS = "Contract string, AppName string, TotalDuration double, Date string"
 
@@ -106,3 +107,38 @@ def test_sums_do_not_depend_on_row_order(spark):
         for n in (1, 3)
     }
     assert results == {1000000001.3}
+
+
+def test_large_and_fine_durations_are_exact(spark):
+    rows = [("big", "VOD", 1e17, "20220401"), ("big", "VOD", 3.0, "20220402"), ("fine", "VOD", 0.0004, "20220401")]
+    rows += [("many", "VOD", 0.0001, f"202204{d:02d}") for d in range(1, 11)]
+    got = profile_of(spark, rows)
+    assert got["big"]["Total_Phim_Truyen"] == 1e17 + 3
+    assert (got["fine"]["Total_Phim_Truyen"], got["fine"]["MostWatch"], got["fine"]["Taste"]) == (0.0004, "Phim_Truyen", "Phim Truyen")
+    assert got["many"]["Total_Phim_Truyen"] == 0.001
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("values", [[1e25], [9e19, 9e19], [float("inf")]])
+def test_a_sum_out_of_range_raises(spark, ansi, values):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="out of range"):
+            profile_of(spark, [("C1", "VOD", v, f"2022040{k}") for k, v in enumerate(values)])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_invalid_rows_make_one_row_a_day(spark):
+    rows = [(c, "VOD", 1.0, d) for c in ["0", None] for d in ["20220401", "20220402"]] + [(f"C{k}", "BHD", 1.0, "20220401") for k in range(9)]
+    daily = ops.daily_totals(views(spark, rows), keep_invalid=True)
+    assert daily.count() == 2 and ops.days_covered(daily).head()["days"] == 2
+
+
+def test_other_rules(spark):
+    rules = ViewRules({"A_b": ["X"], "C": ["Y", "VOD"]}, invalid_contract="-", week_limit=0)
+    rows = [("0", "X", 1.0, "20220401"), ("0", "VOD", 2.0, "20220401"), ("-", "X", 9.0, "20220401"), ("1", "SPORT", 9.0, "20220401")]
+    assert [tuple(r) for r in ops.content_profile(views(spark, rows), rules=rules).collect()] == [("0", 1.0, 2.0, "C", "A b-C", "High")]
+    with pytest.raises(ValueError):
+        ViewRules({"A": ["X"]}, ["A", "B"])
