@@ -282,7 +282,7 @@ def _search_report(name: str) -> Query:
     return lambda spark, sf_dir: plans.search_reports(_search(spark, sf_dir))[name]
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     "scan_daily_json": scan_daily_json,
     "flatten_envelope": flatten_envelope,
     "day_from_file": day_from_file,
@@ -337,3 +337,16 @@ QUERIES: dict[str, Query] = {
     "kpi_shares": lambda s, d: plans.kpi_shares(_content(s, d), _search(s, d)),
     "kpi_long": lambda s, d: plans.kpi_long(_content(s, d), _search(s, d)),
 }
+
+
+def _shared(query: Query) -> Query:
+    """Some queries keep intermediate tables; a session of one machine may not have named a folder for them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fixtures.share_folder(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _shared(query) for name, query in _QUERIES.items()}

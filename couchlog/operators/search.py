@@ -157,6 +157,7 @@ def search_profile(search_log: DataFrame, rules: SearchRules = SEARCHES) -> Data
     """
     log = filter_users(search_log)
     users = _numbers(log, rules).join(_favourites(log), "user_id").join(_plans(log), "user_id", "left")
+    # Names and order of the profile's columns.
     return top_interest(users, rules).select(
         "user_id",
         "SearchCount",

@@ -107,6 +107,7 @@ def content_activity(view_log: DataFrame, limit: Column | int | None = None, rul
 
 def profile_from_daily(daily: DataFrame, limit: Column | int, rules: ViewRules = VIEWS) -> DataFrame:
     """The profile columns, from the rows of `daily_totals`."""
+    # Names and order of the profile's columns.
     return _contract_totals(daily, rules).select(
         "Contract",
         *_totals(rules),

@@ -125,6 +125,7 @@ def _interest_sums() -> dict[str, Column]:
     }
 
 
+# The names of report columns here and below are those that the dashboard reads.
 def _search_kpi() -> dict[str, Column]:
     return {
         "total_users": F.count("*"),
