@@ -164,10 +164,13 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rare = stage(rare.filter("docs > 0").select("text_no", "gram"))
     cut = _passages(_bitmap(rare), int(reach))
     passages = rows.mapInArrow(cut, schema("id bigint, at bigint, passage array<bigint>, grams array<bigint>"))
-    passages = stage(passages.withColumn("no", F.monotonically_increasing_id()))
-    matched = passages.select("no", F.explode("grams").alias("gram")).join(rare, "gram").select("no", "text_no").distinct()
+    # passages with the same seeds, such as all copies of one leak, look up their items once
+    seeded = [F.xxhash64("grams").alias("s1"), F.xxhash64(F.lit(1), "grams").alias("s2")]
+    passages = stage(passages.select("id", "at", "passage", "grams", *seeded))
+    lists = passages.select("s1", "s2", "grams").dropDuplicates(["s1", "s2"])
+    matched = lists.select("s1", "s2", F.explode("grams").alias("gram")).join(rare, "gram").select("s1", "s2", "text_no").distinct()
     texts = items.groupBy("text_no").agg(F.first("words").alias("words"))
-    pairs = matched.join(passages.drop("grams"), "no").join(texts, "text_no")
+    pairs = passages.drop("grams").join(matched, ["s1", "s2"]).join(texts, "text_no")
     found = pairs.select("id", F.col("text_no").alias("item"), "at", "words", "passage").mapInArrow(
         _aligned, schema("id bigint, item bigint, item_words bigint, score double, first_word bigint, end_word bigint")
     )
