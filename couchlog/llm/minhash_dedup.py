@@ -8,11 +8,13 @@
 3. In each bucket every class is paired with the bucket's smallest and largest id only. Pairs whose
    estimate can belong to a link are confirmed on the full sets, and give components.
 4. Where a bucket still holds several components, its members outside the bucket's largest component
-   are paired with all members of other components that the estimate admits, and confirmed as well.
-   No pair within a component is looked at, so a group of copies costs a multiple of its size.
+   are compared with all members of other components by a second signature of `LONG` one-bit lanes,
+   which only members of such buckets get. Pairs that this sharper estimate admits are confirmed as
+   well. No pair within a component is looked at, so a group of copies costs a multiple of its size,
+   and a group of texts that are alike but not enough costs comparisons of bits, not rows.
 
-A pair at the similarity of `PERCENT` shares no band with (1 - 0.75^3)^40, 3e-10, and fails the
-estimate with less than 1e-7; everything after that is exact.
+A pair at the similarity of `PERCENT` shares no band with (1 - 0.75^3)^40, 3e-10, and fails an
+estimate with less than 1e-6; everything after that is exact.
 
 Defined cases: a null or empty text, or one without words, has no shingle and no link; fewer than
 five words make one shingle of the whole sequence; a null id sorts after all others and is returned
@@ -22,7 +24,7 @@ other columns play no part in the links and are kept by `deduplicate`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,12 @@ WORDS = HASHES * BITS // 64 + (HASHES * BITS % 64 > 0)
 _SHARE = PERCENT / 100 + (1 - PERCENT / 100) / 2**BITS
 LEAST_EQUAL = int(HASHES * _SHARE - 7 * (HASHES * _SHARE * (1 - _SHARE)) ** 0.5)
 
+#: One-bit lanes of the second signature; those that may differ: 5 standard deviations above the mean at PERCENT.
+LONG = 4096
+_MISS = (1 - PERCENT / 100) / 2
+MOST_DIFFERENT = int(LONG * _MISS + 5 * (LONG * _MISS * (1 - _MISS)) ** 0.5)
+
+_LONG_SEEDS = mix(np.arange(1, LONG + 1, dtype=np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) | np.uint64(1)
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _SIGNED = "id bigint, version bigint, block bigint, row int, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, signature array<bigint>"
 
@@ -59,11 +67,11 @@ def _sets(block: Block) -> Iterator[tuple[int, np.ndarray]]:
         yield row, shingles(hashes[s:e], SHINGLE)
 
 
-def minima(values: np.ndarray) -> np.ndarray:
-    """The least value of each of `HASHES` hash functions over a set, in 32 bits."""
-    out = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(values), 1024):
-        np.minimum(out, (values[i : i + 1024, None] * _SEEDS).min(0), out=out)
+def minima(values: np.ndarray, seeds: np.ndarray = _SEEDS) -> np.ndarray:
+    """The least value of each of the hash functions over a set, without its last bits."""
+    out = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(values), 128):
+        np.minimum(out, (values[i : i + 128, None] * seeds).min(0), out=out)
     return out >> np.uint64(20)
 
 
@@ -133,33 +141,52 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
 
-class _Links:
-    """Confirms pairs of class ids; the sets are built again from the blocks for the ids that pairs name."""
+class _Sets:
+    """The shingle sets of classes, built again from the blocks for the ids that are asked for."""
 
     def __init__(self, blocks: Blocks, places: DataFrame):
         self.blocks, self.places = blocks, places
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs)
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        rows = self.places.join(asked, "id").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("row", "id"))).alias("rows"))
+    def of(self, ids: DataFrame, describe: Callable[[np.ndarray], object], out: str, kind: pa.DataType) -> DataFrame:
+        """`describe` of the set of each of the distinct `ids`, as the second column of `out`."""
+        rows = self.places.join(ids, "id").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("row", "id"))).alias("rows"))
+        names = [part.split()[0] for part in out.split(", ")]
 
         def sets(number: int, block: Block, rows: pa.Scalar | None) -> Iterator[pa.RecordBatch]:
             if rows is None:
                 return
             starts, ends, first = word_bounds(block.data, block.offsets)
-            ids, values = [], []
-            for asked_for in rows.as_py():
-                s, e = int(first[asked_for["row"]]), int(first[asked_for["row"] + 1])
-                ids.append(asked_for["id"])
-                values.append(squeeze(shingles(word_hashes(block.data, starts[s:e], ends[s:e], lower=True), SHINGLE)))
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(values, pa.binary())], ["id", "set"])
-
-        found = self.blocks.map_with([rows], sets, "id bigint, set binary")
+            found, values = [], []
+            for asked in rows.as_py():
+                s, e = int(first[asked["row"]]), int(first[asked["row"] + 1])
+                found.append(asked["id"])
+                values.append(describe(shingles(word_hashes(block.data, starts[s:e], ends[s:e], lower=True), SHINGLE)))
+            yield pa.record_batch([pa.array(found, pa.int64()), pa.array(values, kind)], names)
+
+        return self.blocks.map_with([rows], sets, out)
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs of class ids that are links."""
+        pairs = stage(pairs)
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        found = self.of(asked, squeeze, "id bigint, set binary", pa.binary())
         left, right = found.toDF("a", "set_a"), found.toDF("b", "set_b")
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b")
         return stage(both.mapInArrow(_confirm, schema("a bigint, b bigint")))
 
+    def long_signatures(self, ids: DataFrame) -> DataFrame:
+        return self.of(ids, _long_signature, "id bigint, long array<bigint>", pa.list_(pa.int64()))
+
+
+def _long_signature(values: np.ndarray) -> np.ndarray:
+    bits = (minima(mix(values), _LONG_SEEDS) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def different_bits(a: Column, b: Column) -> Column:
+    """How many one-bit lanes of two long signatures differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
 
 def _pairs(df: DataFrame, signatures: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) whose estimate can belong to a link."""
@@ -181,15 +208,15 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str
         F.min("id").alias("least_id"), F.min(F.struct("block", "row", "bands", "signature")).alias("m")
     )
     classes = stage(found.select(F.monotonically_increasing_id().alias("id"), "least_id", *digest, "m.*"))
-    buckets = classes.select(F.explode("bands").alias("bucket"), "id")
+    buckets = classes.select(F.posexplode("bands").alias("band", "bucket"), "id")
     ends = buckets.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     shared = stage(buckets.join(ends, "bucket"))
     stars = shared.select(F.explode(F.array("low", "high")).alias("a"), F.col("id").alias("b"))
     signatures = classes.select("id", "signature")
-    links = _Links(blocks, classes.select("id", "block", "row"))
-    edges = links.confirmed(_pairs(stars, signatures))
+    sets = _Sets(blocks, classes.select("id", "block", "row"))
+    edges = sets.confirmed(_pairs(stars, signatures))
     reached = components(edges)
-    more = links.confirmed(_across(shared, reached, signatures))
+    more = sets.confirmed(_across(shared, reached, classes.select("id", "n_shingles", "bands", "signature"), sets))
     if not more.isEmpty():
         reached = components(edges.unionByName(more))
     named = classes.select("id", "least_id", *digest).join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -199,20 +226,29 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str
     return rows.select("id", "version", "n_shingles", "group", F.coalesce("name", "id").alias("component"))
 
 
-def _across(shared: DataFrame, reached: DataFrame, signatures: DataFrame) -> DataFrame:
+def _across(shared: DataFrame, reached: DataFrame, signatures: DataFrame, sets: _Sets) -> DataFrame:
     """Admitted pairs between components in buckets that hold several.
 
-    Members of a bucket outside its largest component are compared with all members of others.
+    Members of a bucket outside its largest component are compared with all members of others: by
+    their numbers of shingles, by their signatures, and then by their long signatures.
     """
-    labelled = shared.select("bucket", "id").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = shared.select("bucket", "band", "id").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
     sizes = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("k"))
-    mixed = stage(labelled.join(main.filter("k > 1").drop("k"), "bucket").join(signatures, "id"))
-    rest = mixed.filter("component <> main").selectExpr("bucket", "id AS a", "component AS of_a", "signature AS sig_a")
-    there = mixed.selectExpr("bucket AS bucket_b", "id AS b", "component AS of_b", "signature AS sig_b")
-    admitted = (F.col("of_a") != F.col("of_b")) & (equal_lanes(F.col("sig_a"), F.col("sig_b")) >= LEAST_EQUAL)
-    pairs = rest.join(there, (F.col("bucket") == F.col("bucket_b")) & admitted)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    mixed = stage(labelled.join(main.filter("k > 1").drop("k"), "bucket"))
+    known = stage(signatures.join(sets.long_signatures(mixed.select("id").distinct()), "id"))
+    signed = mixed.join(known, "id").withColumn("x", F.struct("id", "n_shingles", "bands", "signature", "long"))
+    rest = signed.filter("component <> main").select("bucket", "band", F.col("x").alias("a"), F.col("component").alias("of_a"))
+    there = signed.select(F.col("bucket").alias("bucket_b"), F.col("x").alias("b"), F.col("component").alias("of_b"))
+    sizes_fit = (100 * F.least("a.n_shingles", "b.n_shingles")) >= PERCENT * F.greatest("a.n_shingles", "b.n_shingles")
+    near = equal_lanes(F.col("a.signature"), F.col("b.signature")) >= LEAST_EQUAL
+    nearer = different_bits(F.col("a.long"), F.col("b.long")) <= MOST_DIFFERENT
+    apart = F.col("of_a") != F.col("of_b")
+    # of the buckets that hold both, the one of the first band gives the pair
+    earlier = F.slice(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), F.lit(1), F.col("band"))
+    once = ~F.exists(earlier, lambda same: same)
+    pairs = rest.join(there, (F.col("bucket") == F.col("bucket_b")) & apart & sizes_fit & near & nearer & once)
+    return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
