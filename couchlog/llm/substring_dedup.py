@@ -95,7 +95,7 @@ def _nodes(number: int, block: Block) -> Iterator[pa.RecordBatch]:
     edge = w.span_hashes(w.at[:-1], np.minimum(w.at[1:] + GRAM, len(w.hash)), _BASE).view(np.int64)
     edge = np.where(linked, edge | 1, 0)
     prev, following = np.append(0, edge), np.append(edge, 0)
-    next_gram = np.where(np.append(linked, False), np.append(w.gram[1:], 0).view(np.int64), 0)
+    next_gram = np.where(np.append(linked, False), np.append(w.gram[1:], np.uint64(0)).view(np.int64), 0)
     gap = np.where(np.append(linked, False), np.append(np.diff(w.at), 0), 0)
     grams, which = np.unique(w.gram, return_inverse=True)
     n = len(grams)
