@@ -2,12 +2,14 @@
 
 1. Every `GRAM` consecutive words of a test item are a possible seed. A bitmap of fixed size tells the
    scan of the corpus which words to look at; the number of documents that hold each seed is counted.
-2. An item's rare seeds are those found in at most `SPREAD` times as many documents as its median
-   seed (or in `FEW`), so at least half of an item's seeds remain however often it has leaked, and
-   phrases that are common anyway do not count.
-3. A second scan cuts out the passages around rare seeds, joins them to the items by seed, and aligns
-   the words of item and passage (match 1, mismatch and gap -1). The score is the best local
-   alignment by the item's length; `LEAST_SCORE` makes a leak.
+2. An item's rare seeds are those found in at most `SPREAD` times as many documents as the median of
+   its seeds that occur at all (or in `FEW`). All others are frequent: phrases that are common anyway,
+   or what is left of an item in many edited copies.
+3. A second scan cuts out the passages around all seeds, joins them to the items by seed, and aligns
+   the words of item and passage (match 1, mismatch and gap -1), once for all copies of a passage. The
+   score is the best local alignment by the item's length; `LEAST_SCORE` makes a leak.
+4. A passage and an item that share frequent seeds only are aligned too, unless they have too few
+   words in common for the least score: a bound on the alignment, so no leak is lost by it.
 
 Words are compared with A-Z in lower case. The items are a table like any other: nothing but the
 bitmap is sent to all tasks.
@@ -134,21 +136,33 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best, end_item, end_passage
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for doc, item, at, words, passage in zip(*(c.to_pylist() for c in batch.columns)):
-            a, b = np.array(words), np.array(passage)
-            score, end_a, end_b = align(a, b)
-            _, _, back = align(a[:end_a][::-1], b[:end_b][::-1])
-            rows.append((doc, item, len(a), score / len(a), at + end_b - back, at + end_b))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-        names = ["id", "item", "item_words", "score", "first_word", "end_word"]
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names)
+def in_common(item: np.ndarray, passage: np.ndarray) -> int:
+    """Words that item and passage have in common, repeated ones as often as in both: no alignment scores more."""
+    words, counts = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+    return int(np.minimum(counts, np.bincount(at[words[at] == passage], minlength=len(words))).sum())
+
+
+def _aligned(least: float):
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for p1, p2, item, rare, words, passage in zip(*(c.to_pylist() for c in batch.columns)):
+                a, b = np.array(words), np.array(passage)
+                if not rare and in_common(a, b) / len(a) < least:
+                    continue
+                score, end_a, end_b = align(a, b)
+                _, _, back = align(a[:end_a][::-1], b[:end_b][::-1])
+                rows.append((p1, p2, item, len(a), score / len(a), end_b - back, end_b))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            names = ["p1", "p2", "item", "item_words", "score", "low", "high"]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names)
+
+    return aligned
 
 
-def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Best alignment of each document and test item that share a rare seed.
+def alignments(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Best alignment of each document and test item that share a seed; below `least_score`, not all of them.
 
     id, item (`NO_ID` for a missing one), item_words, score (0 to 1), first_word and end_word in the document.
     """
@@ -158,29 +172,33 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     seeds = items.select("text_no", F.explode("grams").alias("gram")).distinct()
     reach = items.agg(F.max(F.size("words"))).first()[0] or 1
     counts = rows.mapInArrow(_count(_bitmap(seeds)), schema("gram bigint, docs bigint")).groupBy("gram").agg(F.sum("docs").alias("docs"))
-    counted = seeds.join(counts, "gram", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
+    counted = seeds.join(counts, "gram")
     usual = counted.groupBy("text_no").agg(F.percentile("docs", F.lit(0.5)).alias("usual"))
-    rare = counted.join(usual, "text_no").filter(F.col("docs") <= F.greatest(F.lit(FEW), SPREAD * F.col("usual")))
-    rare = stage(rare.filter("docs > 0").select("text_no", "gram"))
-    cut = _passages(_bitmap(rare), int(reach))
+    rare = F.col("docs") <= F.greatest(F.lit(FEW), SPREAD * F.col("usual"))
+    found_seeds = stage(counted.join(usual, "text_no").select("text_no", "gram", rare.alias("rare")))
+    cut = _passages(_bitmap(found_seeds), int(reach))
     passages = rows.mapInArrow(cut, schema("id bigint, at bigint, passage array<bigint>, grams array<bigint>"))
-    # passages with the same seeds, such as all copies of one leak, look up their items once
-    seeded = [F.xxhash64("grams").alias("s1"), F.xxhash64(F.lit(1), "grams").alias("s2")]
-    passages = stage(passages.select("id", "at", "passage", "grams", *seeded))
+    # passages with the same seeds look up their items once, and equal ones are aligned once
+    hashes = [F.xxhash64(*salt, c).alias(name) for c, n in (("grams", "s"), ("passage", "p")) for name, salt in ((f"{n}1", ()), (f"{n}2", (F.lit(1),)))]
+    passages = stage(passages.select("id", "at", "passage", "grams", *hashes))
     lists = passages.select("s1", "s2", "grams").dropDuplicates(["s1", "s2"])
-    matched = lists.select("s1", "s2", F.explode("grams").alias("gram")).join(rare, "gram").select("s1", "s2", "text_no").distinct()
+    matched = lists.select("s1", "s2", F.explode("grams").alias("gram")).join(found_seeds, "gram")
+    matched = matched.groupBy("s1", "s2", "text_no").agg(F.max("rare").alias("rare"))
     texts = items.groupBy("text_no").agg(F.first("words").alias("words"))
-    pairs = passages.drop("grams").join(matched, ["s1", "s2"]).join(texts, "text_no")
-    found = pairs.select("id", F.col("text_no").alias("item"), "at", "words", "passage").mapInArrow(
-        _aligned, schema("id bigint, item bigint, item_words bigint, score double, first_word bigint, end_word bigint")
+    distinct = passages.select("p1", "p2", "s1", "s2", "passage").dropDuplicates(["p1", "p2"])
+    pairs = distinct.join(matched, ["s1", "s2"]).join(texts, "text_no")
+    judged = pairs.select("p1", "p2", F.col("text_no").alias("item"), "rare", "words", "passage").mapInArrow(
+        _aligned(least_score), schema("p1 bigint, p2 bigint, item bigint, item_words bigint, score double, low bigint, high bigint")
     )
+    placed = [(F.col("at") + F.col("low")).alias("first_word"), (F.col("at") + F.col("high")).alias("end_word")]
+    found = passages.select("id", "at", "p1", "p2").join(judged, ["p1", "p2"]).select("id", "item", "item_words", "score", *placed)
     best = found.groupBy("id", "item").agg(F.max(F.struct("score", -F.col("first_word"), "end_word", "item_words", "first_word")).alias("m"))
     named = best.select("id", F.col("item").alias("text_no"), "m.item_words", "m.score", "m.first_word", "m.end_word")
     return named.join(items.select("item", "text_no").distinct(), "text_no").drop("text_no")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    return alignments(docs, benchmark).filter(F.col("score") >= least_score)
+    return alignments(docs, benchmark, least_score).filter(F.col("score") >= least_score)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:

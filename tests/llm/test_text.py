@@ -97,6 +97,32 @@ def test_leaking_documents_go(spark, leaky):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in rows if i not in gone)
 
 
+def test_edited_copies_leak_however_many_there_are(spark):
+    rng = random.Random(4)
+    items = [[f"i{k}w{j}" for j in range(40)] for k in range(3)]
+    items[2][10:14] = phrase = ["it", "is", "said", "that"]
+    copy = lambda k: [w if j % 6 else "new" for j, w in enumerate(items[k])]
+    assert 2 * sum("new" not in copy(0)[j : j + 4] for j in range(37)) < 37
+    around = lambda words: " ".join([f"a{rng.random()}" for _ in range(3)] + words + [f"a{rng.random()}" for _ in range(3)])
+    rows = [(j, around(copy(0))) for j in range(50)]
+    # the seeds of the whole copy make those of the edited ones frequent
+    rows += [(100 + j, around(copy(1))) for j in range(50)] + [(190, " ".join(items[1]))]
+    rows += [(200 + j, around(phrase)) for j in range(60)] + [(290, around(items[2]))]
+    rows += [(300 + j, "the same around " + " ".join(copy(2)) + " each time") for j in range(50)]
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id bigint, text string")
+    found = {(r.id, r.item): r for r in decontamination.leaks(documents(spark, rows), bench).collect()}
+    wanted = {(j, 0) for j in range(50)} | {(100 + j, 1) for j in range(50)} | {(190, 1), (290, 2)} | {(300 + j, 2) for j in range(50)}
+    assert found.keys() == wanted
+    assert (found[0, 0].first_word, found[0, 0].end_word) == (4, 43) and found[190, 1].score == found[290, 2].score == 1
+
+
+def test_words_in_common_bound_the_alignment():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        a, b = (rng.integers(0, 6, rng.integers(1, 15)) for _ in range(2))
+        assert decontamination.align(a, b)[0] <= decontamination.in_common(a, b) == sum(min((a == x).sum(), (b == x).sum()) for x in set(a))
+
+
 def test_alignment_is_smith_waterman():
     rng = random.Random(0)
     for _ in range(50):
