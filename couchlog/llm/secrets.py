@@ -1,7 +1,9 @@
 """Secret scan: fixed patterns, plus strings that are new to a compressor primed with their surroundings.
 
-A candidate is a run of at least `MIN_LENGTH` token characters next to a word of a sensitive
-context. Its novelty is its marginal compressed size: the zstandard frame of the surroundings and
+A candidate is a run of at least `MIN_LENGTH` token characters with a word of a sensitive context
+within `NEAR` characters on either side, line breaks included (a word that is part of the run itself
+does not count); runs joined by dots, such as the parts of a JWT, share their context, and all runs of
+a PEM block whose label has such a word are candidates. Every candidate is measured. Its novelty is its marginal compressed size: the zstandard frame of the surroundings and
 the candidate, less the frame of the surroundings, both primed with a dictionary of identifiers.
 Names and words shrink to a few bytes; keys and hashes do not. A candidate whose novelty per
 character reaches `MIN_NOVELTY` is reported as kind `novel`, unless a base span covers it.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +38,7 @@ KINDS = [*BASE, "novel"]
 MIN_LENGTH = 16
 MIN_NOVELTY = 0.6
 AROUND = 256
+NEAR = 48
 
 # Names that code and configuration are made of; the compressor knows them beforehand.
 IDENTIFIERS = """
@@ -51,11 +55,12 @@ aaaaaaaaaaaaaaaa xxxxxxxxxxxxxxxx 0000000000000000 ----------------
 _PATTERNS = {kind: re.compile(p, re.ASCII) for kind, p in BASE.items()}
 # 32 lower-case hex digits in a row: a cheap test before every match of the open pattern is looked at.
 _HEX = re.compile(r"[0-9a-f]{32,}", re.ASCII)
-_SENSITIVE = re.compile(
-    r"(?i:passw|passphrase|secret|token|api_?key|credential|private|bearer|auth)[^\n]{0,48}?"
-    r"(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{%d,})" % MIN_LENGTH,
-    re.ASCII,
-)
+_SENSITIVE = re.compile(r"(?i:passw|passphrase|secret|token|api_?key|credential|private|bearer|auth)", re.ASCII)
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH, re.ASCII)
+_DOTTED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)+", re.ASCII)
+_PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----", re.ASCII)
+# Where the end line is missing: the first character that no line of a block has.
+_PEM_OVER = re.compile(r"-----END |[^A-Za-z0-9+/=\s\\:,.\"'-]", re.ASCII)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -84,15 +89,56 @@ class Novelty:
         return size - len(self._compressor.compress(known))
 
 
+def _pem_blocks(text: str) -> list[tuple[int, int]]:
+    """From begin line to end line, of blocks with a sensitive word in their label."""
+    blocks, at = [], 0
+    while m := _PEM_BEGIN.search(text, at):
+        end = text.find(f"-----END {m[1]}-----", m.end())
+        if end < 0:
+            over = _PEM_OVER.search(text, m.end())
+            end = over.start() if over else len(text)
+        at = max(m.end(), end)
+        if _SENSITIVE.search(m[1]):
+            blocks.append((m.start(), at))
+    return blocks
+
+
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of token characters in a sensitive context, in order."""
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    if not words:
+        return
+    starts = [s for s, _ in words]
+    dotted = [m.span() for m in _DOTTED.finditer(text)]
+    blocks = _pem_blocks(text) if "-----BEGIN " in text else []
+    i = j = 0
+    for m in _RUN.finditer(text):
+        start, end = low, high = m.span()
+        while i < len(dotted) and dotted[i][1] <= start:
+            i += 1
+        if i < len(dotted) and dotted[i][0] <= start:
+            low, high = dotted[i]
+        while j < len(blocks) and blocks[j][1] <= start:
+            j += 1
+        before, after = bisect_left(starts, start) - 1, bisect_left(starts, end)
+        near = before >= 0 and words[before][1] >= low - NEAR or after < len(words) and starts[after] <= high + NEAR
+        if near or (j < len(blocks) and blocks[j][0] <= start):
+            yield start, end
+
+
 def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, least: float) -> list[tuple[int, int, str]]:
     """Incompressible strings in a sensitive context that no base span covers."""
     spans = []
-    for m in _SENSITIVE.finditer(text):
-        start, end = m.span(1)
-        if any(s <= start and end <= e for s, e, _ in base):
+    base = sorted(base)
+    k = covered = 0
+    for start, end in candidates(text):
+        while k < len(base) and base[k][0] <= start:
+            covered = max(covered, base[k][1])
+            k += 1
+        if end <= covered:
             continue
         around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
-        if novelty(m[1], around) >= least * (end - start):
+        if novelty(text[start:end], around) >= least * (end - start):
             spans.append((start, end, "novel"))
     return spans
 

@@ -327,6 +327,31 @@ def test_novel_strings_are_reported_and_names_are_not(spark):
     assert all(x.end - x.start > 0 for x in found[4]) and len(found[4]) <= 1
 
 
+def test_every_candidate_of_a_sensitive_context_is_measured():
+    rng = random.Random(8)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    make = lambda n: "".join(rng.choice(base64) for _ in range(n))
+    key, other, lines = make(32), make(40), [make(64) for _ in range(8)]
+    pem = lambda label: "\n".join([f"-----BEGIN {label}-----", *lines, f"-----END {label}-----"])
+    novelty = secrets.Novelty()
+
+    def found(text):
+        base = secrets.base_spans(text)
+        spans = secrets.novel_spans(text, base, novelty, secrets.MIN_NOVELTY)
+        return [text[s:e] for s, e, _ in spans]
+
+    assert found(pem("RSA PRIVATE KEY")) == found("x\n" + pem("OPENSSH PRIVATE KEY") + "\nend") == lines
+    assert found(pem("RSA PRIVATE KEY")[: -len("-----END RSA PRIVATE KEY-----")]) == lines
+    assert found("a " * 40 + pem("CERTIFICATE")) == []
+    assert found(f"auth: ConfigurationProviderFactory {key}")[-1] == key
+    assert found("see AuthenticationManagerBuilder for nothing") == []
+    assert found(f"{key} # secret") == found(f"the secret is\n  {key}\n") == [key]
+    assert found(f"bearer {key} and {other}") == [key, other]
+    assert found(f"Bearer {lines[0]}.{lines[1]}.{lines[2]}, {'z ' * 50}{key}") == lines[:3]
+    assert found(f"secret {'z ' * 24}{key}") == [] == found(f"{key}{' z' * 24} secret")
+    assert found(f"secret {'z ' * 23}{key}") == [key] == found(f"{key}{' z' * 23} secret")
+
+
 # --- fingerprints ---------------------------------------------------------------------------------
 
 
