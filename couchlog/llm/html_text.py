@@ -4,8 +4,14 @@ Each block of text gives points for its length and its commas to the elements ab
 the more; an element's points are discounted by the share of its text that is in links. The element
 with most points, or the article around it, or the articles in it that hold most of its text, is the
 container. It is kept with those siblings that
-have a fair share of its points or are plain paragraphs. Menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles take no part and are cut out wherever they are.
+have a fair share of its points or are plain paragraphs. Menus, footers, asides, scripts, styles and
+input fields take no part and are cut out wherever they are.
+
+Forms, fieldsets and elements whose class, id or role has a word for a part beside the article are
+doubtful. They are judged when the page is read, outermost first, by their text outside links, and
+stay if they hold a longer article than there is outside of them, or most of the text (of the page, or
+of the article around them) alone or with those of the same word; of words that content has too
+(`OFTEN_CONTENT`), also if they hold much text of its own. With mostly links or fields they go.
 
 Defined cases: a null or empty page, and one without any text, gives ''; rows are independent, so
 null ids, repeated rows and other columns play no part; broken markup is read leniently: a block
@@ -32,8 +38,8 @@ BLOCK = frozenset(
     " tr ul".split()
 )
 DROPPED = frozenset(
-    "head script style noscript template iframe object embed svg math canvas audio video form button select textarea"
-    " input label fieldset nav menu footer aside dialog".split()
+    "head script style noscript template iframe object embed svg math canvas audio video button select textarea"
+    " input label nav menu footer aside dialog".split()
 )
 # Words in class, id or role that name a part beside the article.
 BESIDE = frozenset(
@@ -43,6 +49,11 @@ BESIDE = frozenset(
     " recommended replies search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar"
     " widget alert responses respond masthead topbar form".split()
 )
+# Words of those that names of content have as a part, too.
+OFTEN_CONTENT = frozenset("alert fieldset form notice notices related replies responses search share sharing social widget".split())
+FIELDS = frozenset("input label button select textarea".split())
+# Characters and share of the text that are much; characters for each field that are few; share in links that is mostly links.
+MUCH, MUCH_SHARE, FIELD_CHARS, LINKS = 200, 0.2, 40, 0.5
 # Elements that an element of the same kind ends, and where the search for them stops.
 ENDS_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -50,36 +61,42 @@ _CELLS = frozenset(("td", "th", "table", "html"))
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "items", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "items", "points", "chars", "linked", "doubts", "fields", "plain", "links", "article")
 
-    def __init__(self, tag: str, parent: _Node | None):
+    def __init__(self, tag: str, parent: _Node | None, doubts: frozenset[str] | set[str] = frozenset()):
         self.tag, self.parent, self.items = tag, parent, []
         self.points, self.chars, self.linked = 0.0, 0, 0
+        # words that make it doubtful; of all that is in it: fields, characters outside and in links, longest article
+        self.doubts, self.fields, self.plain, self.links, self.article = doubts, 0, 0, 0, 0
+
 
+def _dropped(tag: str, in_article: bool) -> bool:
+    return tag in DROPPED or (tag == "header" and not in_article)
 
-def _beside(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    if tag in DROPPED:
-        return True
-    if tag == "header":
-        return not in_article
-    if tag in ("html", "body", "article", "main"):
-        return False
+
+def _doubts(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> set[str]:
+    """Words that make an element doubtful."""
+    if tag in ("header", "html", "body", "article", "main"):
+        return set()
+    found = {tag} if tag in ("form", "fieldset") else set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
             words = {w.lower() for w in _WORDS.findall(value)}
-            if words & BESIDE or ("header" in words and not in_article):
-                return True
-    return False
+            found |= words & BESIDE
+            if "header" in words and not in_article:
+                found.add("header")
+    return found
 
 
 class _Tree(HTMLParser):
-    """Elements and text outside the dropped parts."""
+    """Elements and text outside the dropped parts, with doubtful elements."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", None)
         self.open: list[tuple[str, _Node | None]] = [("#root", self.root)]
         self.articles = 0
+        self.doubtful = False
 
     def _close(self, depth: int) -> None:
         for tag, _ in self.open[depth:]:
@@ -108,13 +125,16 @@ class _Tree(HTMLParser):
             if depth:
                 self._close(depth)
         above = self.open[-1][1]
+        if above is not None and tag in FIELDS:
+            above.fields += 1
         if tag in VOID:
             if above is not None and tag in ("br", "hr", "wbr"):
                 above.items.append(" " if tag == "br" else "" if tag == "wbr" else _Node("hr", above))
             return
         node = None
-        if above is not None and not _beside(tag, attrs, self.articles > 0):
-            node = _Node(tag, above)
+        if above is not None and not _dropped(tag, self.articles > 0):
+            node = _Node(tag, above, _doubts(tag, attrs, self.articles > 0))
+            self.doubtful |= bool(node.doubts)
             above.items.append(node)
         elif above is not None and tag in BLOCK:
             above.items.append(_Node("hr", above))  # text on both sides is not one block
@@ -139,6 +159,85 @@ class _Tree(HTMLParser):
             above.items.append(data)
 
 
+def _measure(root: _Node) -> None:
+    """Fields, characters and longest article of each element."""
+    stack = [(root, iter(root.items), False)]
+    while stack:
+        node, items, in_link = stack[-1]
+        for item in items:
+            if isinstance(item, _Node):
+                stack.append((item, iter(item.items), in_link or item.tag == "a"))
+                break
+            size = sum(map(len, item.split()))
+            node.plain, node.links = node.plain + size * (not in_link), node.links + size * in_link
+        else:
+            stack.pop()
+            if node.tag in ("article", "main"):
+                node.article = max(node.article, node.plain)
+            if above := node.parent:
+                above.plain, above.links, above.fields = above.plain + node.plain, above.links + node.links, above.fields + node.fields
+                above.article = max(above.article, node.article)
+
+
+def _judge(root: _Node) -> None:
+    """Cut the doubtful elements that are beside the main text."""
+    _measure(root)
+    scopes = [root]
+    while scopes:
+        scope = scopes.pop()
+        # outermost doubtful elements of the scope, and the longest article outside of them
+        outer, outside, stack = [], 0, [(scope, False, False)]
+        certain: dict[int, int] = {}  # text outside doubtful elements, of each article around
+        above: list[_Node] = []
+        while stack:
+            node, in_link, left = stack.pop()
+            if left:
+                above.pop()
+                outside = max(outside, certain[id(node)])
+                if above:
+                    certain[id(above[-1])] += certain[id(node)]
+                continue
+            if node.doubts and node is not scope:
+                outer.append(node)
+                continue
+            if node.tag in ("article", "main"):
+                above.append(node)
+                certain[id(node)] = 0
+                stack.append((node, False, True))
+            in_link = in_link or node.tag == "a"
+            if above and not in_link:
+                certain[id(above[-1])] += sum(sum(map(len, x.split())) for x in node.items if isinstance(x, str))
+            stack += [(x, in_link, False) for x in reversed(node.items) if isinstance(x, _Node)]
+        few = lambda n: n.links > LINKS * (n.plain + n.links) or n.fields * FIELD_CHARS > n.plain
+        around: dict[int, _Node] = {}
+        together: dict[tuple[int, str], int] = {}
+        for n in outer:
+            place = n.parent
+            while place is not scope and place.tag not in ("article", "main"):
+                place = place.parent
+            around[id(n)] = place
+            for word in n.doubts if not few(n) else ():
+                together[id(place), word] = together.get((id(place), word), 0) + n.plain
+        cut: dict[int, _Node] = {}
+        for n in outer:
+            place = around[id(n)]
+            in_article = place.tag in ("article", "main")
+            content = n.doubts <= OFTEN_CONTENT
+            rival = 0 if in_article else outside
+            most = any(2 * together.get((id(place), word), 0) > place.plain for word in n.doubts)
+            keep = n.article > outside or 2 * n.plain > place.plain and (not rival or content and n.plain > rival)
+            if not keep and not few(n):
+                keep = most and (not rival or content and n.plain > rival)
+                keep = keep or content and n.plain >= MUCH and n.plain >= MUCH_SHARE * place.plain and (in_article or not rival)
+            if keep:
+                scopes.append(n)
+            else:
+                cut[id(n)] = n
+        for above_cut in {id(n.parent): n.parent for n in cut.values()}.values():
+            # text on both sides of a block is not one block
+            above_cut.items = [x if id(x) not in cut else _Node("hr", above_cut) if x.tag in BLOCK else "" for x in above_cut.items]
+
+
 def _blocks(top: _Node) -> Iterator[tuple[_Node, str, int]]:
     """Text blocks below an element in page order: element, text, characters of it in links."""
     text: list[str] = []
@@ -213,6 +312,8 @@ def main_text(html: str) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    if tree.doubtful:
+        _judge(tree.root)
     best = _container(tree.root)
     if best.tag in ("#root", "html", "body") or best.parent is None:
         kept = [best]

@@ -225,6 +225,27 @@ def test_the_container_of_most_points_and_its_siblings():
     assert text.count("some") == 8 * 5 and "link" not in text
 
 
+def test_doubtful_elements_with_the_main_text_stay():
+    words = " ".join(["plain words of the page, and more of them"] * 12)
+    page = f"<h1>Title</h1><p>{words} one</p><p>{words} two</p>"
+    whole = f"Title {words} one {words} two"
+    nav = '<div class="navbar"><a href="/">Home</a> <a href="/x">Other</a></div>'
+    for opening in (
+        '<form id="aspnetForm">', "<fieldset>", '<div class="long-form-content">', '<div class="elementor-widget-text-editor">',
+        '<div class="related">', '<div class="social">', '<div class="search-result-article">', '<div class="alert">', '<form><div class="widget">',
+        '<form><article>', '<div class="sidebar"><main>', '<article><div class="long-form-content">', '<main><form>', '<article><fieldset>',
+    ):
+        closing = "".join(f"</{tag}>" for tag in reversed(re.findall(r"<(\w+)", opening)))
+        for login in ("", '<form><input name="q"><button>Go</button>find</form>'):
+            assert html_text.main_text(f"<body>{nav}{opening}{login}{page}{closing}<div class='ad'>Buy</div>") == whole, opening
+    widgets = "".join(f'<div class="widget"><p>{words} {k}</p></div>' for k in range(8))
+    assert html_text.main_text(f"<body>{nav}<div>{widgets}</div>") == " ".join(f"{words} {k}" for k in range(8))
+    assert html_text.main_text(f"<article><p>short</p></article><div class='sidebar'><p>{words}</p></div>") == "short"
+    linked = "".join(f'<li><a href="{k}">{words}</a>' for k in range(9))
+    assert html_text.main_text(f"<div>{page}</div><div class='related'><ul>{linked}</ul></div>") == whole
+    assert html_text.main_text(f"<article>{page}<div class='related'><article><a href='x'>other</a></article></div></article>") == whole
+
+
 def test_pages(spark, tmp_path):
     pages = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<article><p>x</article>")]
     found = QUERIES["op5_html_text"](spark, write(spark, tmp_path, pages=pages)).collect()
