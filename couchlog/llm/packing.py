@@ -6,7 +6,8 @@ the token stream of each range is cut every `length` tokens, so a sequence holds
 next to each other on the curve. What remains at the end of a range is cut into powers of two, the
 lengths that need no padding.
 
-Defined cases: a null or empty text is the end token alone; rows with equal id or equal text, and
+Defined cases: a null or empty text is the end token alone; the string of a special token in a text is
+that token, as the tokenizer has it; a very long text is one row, and is cut into as many sequences as it needs; rows with equal id or equal text, and
 null ids, are packed like any other, ordered by (key, id, text hash, tokens); other columns play no
 part; an empty table gives no sequence.
 """
@@ -14,7 +15,8 @@ part; an empty table gives no sequence.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import json
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -45,19 +47,34 @@ _ODD_LEAD = np.zeros(256, bool)
 _ODD_LEAD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
-@lru_cache(maxsize=1)
-def _encoding(path: str) -> tiktoken.Encoding:
+@lru_cache(maxsize=2)
+def special_tokens(path: str) -> dict[str, int]:
+    """The special tokens of a JSON vocabulary; its tokenizer takes their strings in a text for them."""
+    return {token["content"]: token["id"] for token in json.load(open(path))["added_tokens"]}
+
+
+@lru_cache(maxsize=2)
+def _encoding(path: str, special: tuple[tuple[str, int], ...]) -> tiktoken.Encoding:
     """The byte-level BPE of the JSON vocabulary, from its rank file: the same ids, faster."""
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
 class Encoder:
-    """Token ids of texts. Each distinct piece between spaces is encoded once per call."""
+    """Token ids of texts. Each distinct piece between spaces is encoded once per call.
+
+    `special` are strings that are one token wherever a text holds them; such texts have to be given to `whole`.
+    """
+
+    def __init__(self, path: str, special: dict[str, int] | None = None):
+        self.special = special or {}
+        self._coding = _encoding(path, tuple(sorted(self.special.items())))
+        size = len(self._coding._mergeable_ranks)
+        self._width = np.array([len(self._coding.decode_single_token_bytes(i)) for i in range(size)], np.int64)
 
-    def __init__(self, path: str):
-        self._coding = _encoding(path)
-        self._width = np.array([len(self._coding.decode_single_token_bytes(i)) for i in range(self._coding.n_vocab)], np.int64)
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        """Where each token ends, in bytes from the first one's start."""
+        return np.cumsum(self._width[ids])
 
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and first index per text of the parts that the vocabulary's pattern never joins.
@@ -115,9 +132,14 @@ class Encoder:
             out[at[i] : at[i] + len(ids)] = ids
         return out, counts
 
-    def whole(self, text: str) -> list[int]:
+    def plain(self, text: str) -> list[int]:
+        """Ids of one text, the strings of special tokens as plain text."""
         return self._coding.encode_ordinary(text)
 
+    def whole(self, text: str) -> list[int]:
+        """Ids of one text with special tokens."""
+        return self._coding.encode(text, allowed_special=set(self.special), disallowed_special=())
+
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the index of each text's first id (one more than texts)."""
         starts, ends, first = self.pieces(data, offsets)
@@ -173,18 +195,33 @@ def curve_keys(data: np.ndarray, offsets: np.ndarray, dims: int = DIMS, levels:
     return hilbert_key(cells, levels)
 
 
-def _odd_texts(data: np.ndarray, offsets: np.ndarray) -> list[int]:
+def special_texts(data: np.ndarray, offsets: np.ndarray, special: Iterable[str]) -> list[int]:
+    """Indexes of the texts that hold the string of a special token."""
+    found, text = set(), data[offsets[0] : offsets[-1]].tobytes()
+    for token in special:
+        wanted = token.encode()
+        at = text.find(wanted)
+        while at >= 0:
+            place = at + int(offsets[0])
+            k = int(np.searchsorted(offsets, place, "right")) - 1
+            if place + len(wanted) <= offsets[k + 1]:
+                found.add(k)
+            at = text.find(wanted, at + 1)
+    return sorted(found)
+
+
+def odd_texts(data: np.ndarray, offsets: np.ndarray) -> list[int]:
     """Indexes of the texts with white space of other kinds."""
     leads = np.flatnonzero(_ODD_LEAD[data[offsets[0] : offsets[-1]]]) + offsets[0]
     maybe = np.unique(np.searchsorted(offsets, leads, "right") - 1)
     return [k for k in maybe.tolist() if _ODD_SPACE.search(data[offsets[k] : offsets[k + 1]].tobytes().decode())]
 
 
-def tokenize(docs: DataFrame, ranks_path: str, end: int = END) -> DataFrame:
+def tokenize(docs: DataFrame, ranks_path: str, end: int = END, special: dict[str, int] | None = None) -> DataFrame:
     """id, key, tokens (`STORED` numbers), `end` after each text."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path)
+        encoder = Encoder(ranks_path, special)
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             ids = batch.column("id").to_numpy()
@@ -194,7 +231,7 @@ def tokenize(docs: DataFrame, ranks_path: str, end: int = END) -> DataFrame:
                 part = offsets[i : j + 1]
                 flat, at = encoder(data, part)
                 own = [flat[at[k] : at[k + 1]] for k in range(j - i)]
-                for k in _odd_texts(data, part):
+                for k in {*odd_texts(data, part), *special_texts(data, part, encoder.special)}:
                     own[k] = np.array(encoder.whole(data[part[k] : part[k + 1]].tobytes().decode()), np.uint32)
                 rows = [np.append(x, np.uint32(end)).astype(STORED).tobytes() for x in own]
                 yield pa.record_batch(
@@ -238,10 +275,15 @@ def pack_sorted(docs: list[tuple[int, np.ndarray]] | Iterator[tuple[int, np.ndar
             piece, at, room = piece[n:], at + n, room - n
 
 
-def pack(docs: DataFrame, length: int = LENGTH, ranks_path: str | None = None) -> DataFrame:
-    """Pieces of documents in sequences: id, start, tokens, doc_tokens, sequence_id, offset."""
-    ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    rows = stage(tokenize(docs, ranks_path))
+def pack(docs: DataFrame, length: int = LENGTH, ranks_path: str | None = None, special: dict[str, int] | None = None) -> DataFrame:
+    """Pieces of documents in sequences: id, start, tokens, doc_tokens, sequence_id, offset.
+
+    `ranks_path` and `special` are the merges and special tokens of the tokenizer, by default both of `byte_bpe_50k`.
+    """
+    if ranks_path is None:
+        ranks_path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+        special = special_tokens(public_tokenizers.path("byte_bpe_50k.json")) if special is None else special
+    rows = stage(tokenize(docs, ranks_path, special=special))
     order = ["key", "id", "check", "tokens"]
     ranges = rows.withColumn("check", F.crc32("tokens")).repartitionByRange(*order[:3]).sortWithinPartitions(*order)
 
