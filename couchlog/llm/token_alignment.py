@@ -25,6 +25,7 @@ import hashlib
 import heapq
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -48,6 +49,17 @@ FRAME = 1 << 14
 _NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of one of each distinct value, and which of them each value is."""
+    order = np.argsort(values, kind="stable")
+    new = np.diff(values[order], prepend=values[order[:1]]) != 0
+    number = np.cumsum(new)
+    new[:1] = True
+    which = np.empty(len(values), np.int64)
+    which[order] = number
+    return order[new], which
+
+
 # --- tokens ---------------------------------------------------------------------------------------
 
 
@@ -67,6 +79,7 @@ class PieceEncoder:
             bytes([int(name[3:5], 16)]) if self._model.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)
         ]
         self._width = np.array([len(b) for b in self.bytes], np.int64)
+        self._lone = [self._model.piece_to_id("▁")]
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For texts that begin with a space: all ids, the index of each text's first id, and which texts come back whole."""
@@ -77,12 +90,14 @@ class PieceEncoder:
         starts[(offsets[:-1] - low)[offsets[:-1] < offsets[1:]]] = True
         starts = np.flatnonzero(starts) + low
         ends = np.append(starts[1:], high)[: len(starts)]
-        _, rep, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        own = [data[s:e].tobytes() for s, e in zip(starts[rep].tolist(), ends[rep].tolist())]
+        rep, which = _distinct(word_hashes(data, starts, ends))
+        text = data[low:high].tobytes()
+        own = [text[s:e] for s, e in zip((starts[rep] - low).tolist(), (ends[rep] - low).tolist())]
         lists = self._model.encode([b[1:].decode() for b in own], num_threads=1)
+        lists = [ids or self._lone for ids in lists]  # an empty string gets no space in front
         whole = np.array([b"".join([self.bytes[i] for i in ids]) == b for b, ids in zip(own, lists)], bool)
-        size = np.array([len(ids) for ids in lists], np.int64)
-        flat = np.fromiter((i for ids in lists for i in ids), np.int64, int(size.sum()))
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))
         at = np.cumsum(size) - size
         n = size[which]
         out_at = np.concatenate([[0], np.cumsum(n)])
@@ -138,11 +153,14 @@ class Aligned:
         if (a_ends[-1] if len(a_ends) else 0) != (b_ends[-1] if len(b_ends) else 0):
             raise ValueError("the tokens of A do not give back the texts")
         self.owner = np.repeat(np.arange(n_texts), self.n_a)  # text of each token of A
-        # every place where a token ends begins the next link: one link per place
-        places = np.union1d(a_ends, b_ends)
-        self.link_a, self.link_b = np.searchsorted(a_ends, places), np.searchsorted(b_ends, places)
-        shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        self.group_a, self.group_b = np.searchsorted(a_ends, shared), np.searchsorted(b_ends, shared)  # last tokens of groups
+        # one link per place where a token ends: of the tokens of A and B that hold the bytes before it
+        place = np.sort(np.concatenate([a_ends << 1, b_ends << 1 | 1]), kind="stable")
+        change = np.diff(place >> 1) != 0
+        has_a = place[np.concatenate([[True], change])[: len(place)]] & 1 == 0
+        has_b = place[np.concatenate([change, [True]])[: len(place)]] & 1 == 1
+        self.link_a, self.link_b = np.cumsum(has_a) - has_a, np.cumsum(has_b) - has_b
+        shared = has_a & has_b
+        self.group_a, self.group_b = self.link_a[shared], self.link_b[shared]  # last tokens of groups
         self.n_links = np.bincount(self.owner[self.link_a], minlength=n_texts)
         self.n_groups = np.bincount(self.owner[self.group_a], minlength=n_texts)
 
@@ -150,8 +168,9 @@ class Aligned:
         """`a1,a2|b1;a3|b2,b3` of every text."""
         n_a, n_b = len(self.a), len(self.b)
         # tokens of A stand before those of B of their group
-        at_a = np.arange(n_a) + np.concatenate([[0], self.group_b + 1])[np.searchsorted(self.group_a, np.arange(n_a))]
-        at_b = np.arange(n_b) + (self.group_a + 1)[np.searchsorted(self.group_b, np.arange(n_b))]
+        in_a, in_b = np.diff(self.group_a, prepend=-1), np.diff(self.group_b, prepend=-1)
+        at_a = np.arange(n_a) + np.repeat(np.cumsum(in_b) - in_b, in_a)
+        at_b = np.arange(n_b) + np.repeat(np.cumsum(in_a), in_b)
         ids, marks = np.empty(n_a + n_b, np.int64), np.full(n_a + n_b, ord(","), np.uint8)
         ids[at_a], ids[at_b] = self.a, self.b
         marks[at_a[self.group_a]], marks[at_b[self.group_b]] = ord("|"), ord(";")

@@ -14,10 +14,10 @@ from tests.llm.tables import odd_rows, write
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def test_eleven_queries():
+def test_fourteen_queries():
     names = [name for name in contract.queries() if re.match(r"op\d+_|pipeline$", name)]
-    assert sorted(names) == sorted([*QUERIES, "pipeline"]) and len(names) == 11
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 11))
+    assert sorted(names) == sorted([*QUERIES, "pipeline"]) and len(names) == 14
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(contract.oracle_sql())
 
 

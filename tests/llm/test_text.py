@@ -145,7 +145,6 @@ def test_packing(spark, rows):
 
     pieces = packing.pack(inputs(docs), length=64).collect()
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    coder.encode_special_tokens = True
     whole = lambda t: [*coder.encode(t or "", add_special_tokens=False).ids, packing.END]
     wanted = {}
     for i, t in rows + extra:
@@ -173,9 +172,19 @@ def test_encoder_equals_the_tokenizer():
     alphabet = [" ", "  ", "\n", "\t", " \n", "a", "b", "don't", "'s", "é", "12", "!?", "\x0b", "\r\n", "中文", "<|endoftext|>", "🙂"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(2000)]
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    special = packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), special)
+    data, offsets = utf8(pa.array(texts))
+    ids, at = encoder(data, offsets)
+    found = [ids[s:e].tolist() for s, e in zip(at, at[1:])]
+    held = packing.special_texts(data, offsets, special)
+    assert held == [k for k, t in enumerate(texts) if "<|endoftext|>" in t] and len(held) > 100
+    for k in held:
+        assert encoder.plain(texts[k]) == found[k]
+        found[k] = encoder.whole(texts[k])
+    assert found == [e.ids for e in coder.encode_batch(texts, add_special_tokens=False)]
     coder.encode_special_tokens = True
-    ids, at = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))(*utf8(pa.array(texts)))
-    assert [ids[s:e].tolist() for s, e in zip(at, at[1:])] == [e.ids for e in coder.encode_batch(texts, add_special_tokens=False)]
+    assert [encoder.plain(t) for t in texts] == [e.ids for e in coder.encode_batch(texts, add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("dims,levels", [(2, 4), (3, 2), (4, 2)])
