@@ -8,12 +8,12 @@ from couchlog.functions.columns import (
     share_percent,
     top_label,
 )
-from couchlog.functions.exact import FINE, UNITS, checked_sum, exact_avg, exact_sum, parts, total
+from couchlog.functions.exact import Amount, amount, checked_sum, exact_avg, exact_sum, odd_total, total
 
 __all__ = [
-    "FINE",
-    "UNITS",
+    "Amount",
     "activity_tier",
+    "amount",
     "by_regex",
     "by_value",
     "checked_sum",
@@ -21,7 +21,7 @@ __all__ = [
     "exact_avg",
     "exact_sum",
     "half_up",
-    "parts",
+    "odd_total",
     "plan_name",
     "ratio",
     "share_percent",

@@ -19,6 +19,7 @@ from couchlog.operators.watch import (
     days_covered,
     day_limit,
     filter_contract,
+    merged_daily,
     most_watch,
     profile_from_daily,
     taste,
@@ -39,6 +40,7 @@ __all__ = [
     "filter_users",
     "interests",
     "main_value",
+    "merged_daily",
     "most_watch",
     "plan_summary",
     "profile_from_daily",

@@ -1,8 +1,11 @@
 """Viewing log -> one profile row per contract.
 
-Every aggregate runs in two steps, (contract, day) and then contract. Both steps combine on the
-map side and keep a fixed-size state, so a contract that holds a large part of the log costs one
-row per map task and day, and distinct days are a plain row count in the second step.
+Aggregates run in two steps, (contract, day) and then contract. Both steps combine on the map side and
+keep a fixed-size state, so a contract that holds a large part of the log costs one row per map task and
+day, and distinct days are a plain row count in the second step.
+
+Durations are added up as whole numbers (see `couchlog.functions.exact`). The few that are no whole
+thousandths are rows of their own in the daily state, with a `bin` that names category and place.
 """
 
 from __future__ import annotations
@@ -10,11 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from couchlog.functions import FINE, UNITS, activity_tier, by_value, checked_sum, combo_label, parts, top_label, total
+from couchlog.functions import Amount, activity_tier, amount, by_value, checked_sum, combo_label, odd_total, top_label, total
 from couchlog.rules import VIEWS, ViewRules
 from couchlog.sources.tables import stage, stage_root
 
-_FINE = "_fine"
+_LIMB = "limb"
+_BIN = "bin"
+_PLACES = 1000  # bins of one category; a double has fewer places of nine digits, and so has a decimal
 
 
 def classify_app(view_log: DataFrame, rules: ViewRules = VIEWS, name: str = "Type") -> DataFrame:
@@ -33,32 +38,98 @@ def filter_contract(view_log: DataFrame, rules: ViewRules = VIEWS) -> DataFrame:
     return view_log.filter(_valid(rules))
 
 
-def daily_totals(view_log: DataFrame, rules: ViewRules = VIEWS, keep_invalid: bool = False) -> DataFrame:
-    """One row per contract and day: the exact amount per category in two parts.
+def _category(rules: ViewRules) -> Column:
+    """Number of the row's category, null if it has none."""
+    return F.coalesce(*[F.when(F.col("AppName").isin(list(rules.codes[c])), k) for k, c in enumerate(rules.categories)])
 
-    `keep_invalid` adds one row without a contract for each day with rows that do not count, which
-    `days_covered` needs.
-    """
+
+def _taken_apart(view_log: DataFrame, rules: ViewRules, keep_invalid: bool = False) -> tuple[DataFrame, Amount]:
+    """Contract (null where the row does not count), Date, category `k`, duration as `value`; and its parts."""
+    parts = amount(view_log, "TotalDuration")
     rows = view_log if keep_invalid else filter_contract(view_log, rules)
     contract = F.when(_valid(rules), F.col("Contract")) if keep_invalid else F.col("Contract")
-    units, fine = parts(rows, "TotalDuration")
-    sums = []
-    for c in rules.categories:
-        here = F.col("AppName").isin(list(rules.codes[c]))
-        sums += [checked_sum(F.when(here, units), UNITS).alias(c), checked_sum(F.when(here, fine), FINE).alias(c + _FINE)]
-    return rows.groupBy(contract.alias("Contract"), "Date").agg(*sums)
+    return rows.select(contract.alias("Contract"), "Date", _category(rules).alias("k"), F.expr(parts.value).alias("value")), parts
+
+
+def _unit_sums(rules: ViewRules, units: str, condition: str = "true") -> list[Column]:
+    return [checked_sum(f"CASE WHEN {condition} AND k = {k} THEN {units} END").alias(c) for k, c in enumerate(rules.categories)]
+
+
+def _limb_sums(limbs: list[str], condition: str = "true") -> list[Column]:
+    return [checked_sum(f"CASE WHEN {condition} THEN {limb} END").alias(f"{_LIMB}{i}") for i, limb in enumerate(limbs)]
+
+
+def _place(parts: Amount) -> str:
+    return f"k * {_PLACES} + {parts.bin} + {_PLACES // 2}"
+
+
+def daily_totals(view_log: DataFrame, rules: ViewRules = VIEWS, keep_invalid: bool = False) -> DataFrame:
+    """The state that profiles are made of: one row per contract and day with the thousandths of each category.
+
+    Durations that are no whole thousandths add one row per contract, day and `bin`, with their limbs. All
+    amounts are bigints that may be added up further, see `merged_daily`. `keep_invalid` adds one row without a
+    contract for each day with rows that do not count, which `days_covered` needs.
+    """
+    rows, parts = _taken_apart(view_log, rules, keep_invalid)
+    # an odd row counts twice: for its day, and for its bin
+    usual = "CAST(NULL AS int)"
+    bins = F.expr(f"explode(CASE WHEN k IS NOT NULL AND {parts.odd} THEN array({usual}, {_place(parts)}) ELSE array({usual}) END)")
+    return (
+        rows.select("*", bins.alias(_BIN))
+        .groupBy("Contract", "Date", _BIN)
+        .agg(*_unit_sums(rules, parts.units, f"{_BIN} IS NULL"), *_limb_sums(parts.limbs, f"{_BIN} IS NOT NULL"))
+    )
+
+
+def merged_daily(daily: DataFrame, *keys: str) -> DataFrame:
+    """Daily totals added up further, for example without the day, or over states that were kept apart."""
+    amounts = [c for c in daily.columns if c not in ("Contract", "Date", _BIN)]
+    return daily.groupBy(*keys, _BIN).agg(*[checked_sum(f"`{c}`").alias(c) for c in amounts])
+
+
+def _with_totals(sums: DataFrame, bins: DataFrame, rules: ViewRules) -> DataFrame:
+    """Total columns from the thousandths of each category and the odd rest: per contract as many entries as it has bins.
+
+    There is no rest in most logs; AQE then drops the join.
+    """
+    limbs = [c for c in bins.columns if c.startswith(_LIMB)]
+    entry = F.struct(F.col(_BIN).alias("place"), F.array(*limbs).alias("limbs"))
+    both = sums.join(bins.groupBy("Contract").agg(F.collect_list(entry).alias("odd")), "Contract", "left")
+    own = f"filter(odd, e -> floor(e.place / {_PLACES}) = c.k)"
+    entries = f"transform({own}, e -> named_struct('bin', e.place % {_PLACES} - {_PLACES // 2}, 'limbs', e.limbs))"
+    every = ", ".join(f"named_struct('k', {k}, 'units', `{c}`)" for k, c in enumerate(rules.categories))
+    exact = both.withColumn("exact", F.expr(f"CASE WHEN odd IS NOT NULL THEN transform(array({every}), c -> {odd_total('c.units', entries)}) END"))
+    kept = [c for c in sums.columns if c not in rules.categories]
+    totals = [F.expr(f"coalesce(get(exact, {k}), {total(f'`{c}`')})").alias(f"Total_{c}") for k, c in enumerate(rules.categories)]
+    return exact.select(*kept, *totals)
 
 
 def _contract_totals(daily: DataFrame, rules: ViewRules) -> DataFrame:
-    totals = [
-        total(checked_sum(F.col(c), UNITS), checked_sum(F.col(c + _FINE), FINE)).alias(f"Total_{c}") for c in rules.categories
-    ]
-    return daily.filter("Contract IS NOT NULL").groupBy("Contract").agg(*totals, F.count("Date").alias("DayCount"))
+    """Totals and days per contract, from the rows of `daily_totals`."""
+    held = daily.filter("Contract IS NOT NULL")
+    sums = [checked_sum(f"`{c}`").alias(c) for c in rules.categories]
+    usual = held.filter(f"{_BIN} IS NULL").groupBy("Contract").agg(*sums, F.count("Date").alias("DayCount"))
+    limbs = [c for c in daily.columns if c.startswith(_LIMB)]
+    bins = held.filter(f"{_BIN} IS NOT NULL").groupBy("Contract", _BIN).agg(*[checked_sum(c).alias(c) for c in limbs])
+    return _with_totals(usual, bins, rules)
+
+
+def _log_totals(view_log: DataFrame, rules: ViewRules, days: bool) -> DataFrame:
+    """As `_contract_totals`, straight from a log: the odd rest is a second look at the log, for rows that have one."""
+    rows, parts = _taken_apart(view_log, rules)
+    columns = _unit_sums(rules, parts.units)
+    if days:
+        daily = rows.groupBy("Contract", "Date").agg(*columns)
+        sums = daily.groupBy("Contract").agg(*[checked_sum(f"`{c}`").alias(c) for c in rules.categories], F.count("Date").alias("DayCount"))
+    else:
+        sums = rows.groupBy("Contract").agg(*columns)
+    odd = rows.filter(parts.odd).groupBy("Contract", F.expr(_place(parts)).alias(_BIN)).agg(*_limb_sums(parts.limbs))
+    return _with_totals(sums, odd, rules)
 
 
 def watch_totals(view_log: DataFrame, rules: ViewRules = VIEWS) -> DataFrame:
     """Seconds per contract and category, categories without views 0."""
-    return _contract_totals(daily_totals(view_log, rules), rules).drop("DayCount")
+    return _log_totals(view_log, rules, days=False)
 
 
 def _totals(rules: ViewRules) -> list[Column]:
@@ -99,16 +170,21 @@ def content_activity(view_log: DataFrame, limit: Column | int | None = None, rul
     if limit is None:
         daily = _staged_daily(view_log, rules)
         limit = day_limit(daily, rules)
+        usual = daily.filter(F.col("Contract").isNotNull() & F.col(_BIN).isNull())
     else:
-        daily = daily_totals(view_log, rules)
-    days = _contract_totals(daily, rules).select("Contract", "DayCount")
+        usual = filter_contract(view_log, rules).select("Contract", "Date").distinct()
+    days = usual.groupBy("Contract").agg(F.count("Date").alias("DayCount"))
     return days.withColumn("Active", activity_tier(F.col("DayCount"), limit, inclusive=False))
 
 
 def profile_from_daily(daily: DataFrame, limit: Column | int, rules: ViewRules = VIEWS) -> DataFrame:
     """The profile columns, from the rows of `daily_totals`."""
+    return _profile(_contract_totals(daily, rules), limit, rules)
+
+
+def _profile(totals: DataFrame, limit: Column | int, rules: ViewRules) -> DataFrame:
     # Names and order of the profile's columns.
-    return _contract_totals(daily, rules).select(
+    return totals.select(
         "Contract",
         *_totals(rules),
         top_label(_totals(rules), rules.categories).alias("MostWatch"),
@@ -126,6 +202,6 @@ def content_profile(view_log: DataFrame, limit: Column | int | None = None, rule
     clears its own.
     """
     if limit is not None:
-        return profile_from_daily(daily_totals(view_log, rules), limit, rules)
+        return _profile(_log_totals(view_log, rules, days=True), limit, rules)
     daily = _staged_daily(view_log, rules)
     return profile_from_daily(daily, day_limit(daily, rules), rules)

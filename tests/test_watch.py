@@ -1,3 +1,8 @@
+import random
+import struct
+from collections import defaultdict
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,7 +124,7 @@ def test_large_and_fine_durations_are_exact(spark):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize("values", [[1e25], [9e19, 9e19], [float("inf")]])
+@pytest.mark.parametrize("values", [[float("inf")], [float("-inf"), 1.0], [1.7e308, 1.7e308]])
 def test_a_sum_out_of_range_raises(spark, ansi, values):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
@@ -130,6 +135,63 @@ def test_a_sum_out_of_range_raises(spark, ansi, values):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def random_double(rng):
+    kind = rng.random()
+    if kind < 0.3:
+        return rng.choice([1, -1]) * rng.randint(0, 10**6) / 1000
+    if kind < 0.6:
+        return rng.choice([1, -1]) * rng.random() * 10.0 ** rng.randint(-30, 30)
+    if kind < 0.8:
+        return rng.choice([1e-19, -1e-19, 1e20, -1e20, 0.1, 1e17, 9e19, 5e-324, 1.7e308, -1.7e308, 123456789.123456789, -0.0])
+    return struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64) & ~(1 << 62)))[0]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_of_any_doubles_are_exact(spark, ansi):
+    """The exact sum of the decimals that the doubles are written as, rounded once, in any order and by any route."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(160):
+        for j in range(rng.randint(1, 12)):
+            rows.append((f"C{k}", rng.choice(["VOD", "SPORT", "FIMS"]), random_double(rng), f"202204{rng.randint(1, 4):02d}"))
+    rows += [("back", "VOD", v, "20220401") for v in (1e20, 1e-19, -1e20)] + [("tiny", "VOD", 1e-19, "20220401")]
+    rows += [("neg", "VOD", v, "20220401") for v in (-0.0005, -3.0)] + [("two", "VOD", v, "20220401") for v in (9e19, 9e19)]
+    exact = defaultdict(lambda: [Fraction(0), Fraction(0)])
+    for c, app, v in views(spark, rows).select("Contract", "AppName", F.col("TotalDuration").cast("string")).collect():
+        if v != "NaN":
+            exact[c][app == "SPORT"] += Fraction(v)
+    exact = {c: v for c, v in exact.items() if max(map(abs, v)) < Fraction(1.7e308)}
+    wanted = {c: tuple(float(x) for x in v) for c, v in exact.items()}
+    rows = [r for r in rows if r[0] in wanted]
+    assert wanted["back"] == (1e-19, 0.0) and wanted["two"] == (1.8e20, 0.0) and len(wanted) > 60
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = []
+        for order, parts in ((rows, 1), (rng.sample(rows, len(rows)), 5))[: 2 if ansi == "true" else 1]:
+            log = views(spark, order).repartition(parts)
+            daily = ops.daily_totals(log, keep_invalid=True)
+            merged = ops.merged_daily(daily.unionByName(daily.limit(0)), "Contract", "Date")
+            routes = [ops.watch_totals(log), ops.content_profile(log, 4), ops.content_profile(log), ops.profile_from_daily(merged, 4)]
+            found += [{r["Contract"]: (r["Total_Phim_Truyen"], r["Total_The_Thao"]) for r in df.collect()} for df in routes]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert all(f == wanted for f in found)
+    tiny = profile_of(spark, [("tiny", "VOD", 1e-19, "20220401")])["tiny"]
+    assert tiny["Taste"] == "Phim Truyen" and tiny["Total_Phim_Truyen"] == 1e-19
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,18)", "decimal(20,0)", "decimal(5,5)", "bigint", "string"])
+def test_sums_of_other_types_are_exact(spark, kind):
+    values = {"decimal(38,18)": ["12345678901234567890.123456789012345678", "-0.000000000000000001", "7.5"], "decimal(20,0)": ["99999999999999999999", "1"]}
+    values |= {"decimal(5,5)": ["0.12345", "0.00001", "-0.1"], "bigint": [str(2**63 - 1), str(2**63 - 1), "5"], "string": ["1e20", " 3 ", "x", "1e-19"]}
+    log = views(spark, [("C1", "VOD", None, "20220401")]).drop("TotalDuration")
+    log = log.crossJoin(spark.createDataFrame([(v,) for v in values[kind]], "TotalDuration string"))
+    log = log.withColumn("TotalDuration", F.col("TotalDuration").cast(kind))
+    wanted = float(sum(Fraction(v.strip()) for v in values[kind] if v != "x"))
+    assert ops.watch_totals(log).head()["Total_Phim_Truyen"] == ops.content_profile(log).head()["Total_Phim_Truyen"] == wanted
+
+
 def test_invalid_rows_make_one_row_a_day(spark):
     rows = [(c, "VOD", 1.0, d) for c in ["0", None] for d in ["20220401", "20220402"]] + [(f"C{k}", "BHD", 1.0, "20220401") for k in range(9)]
     daily = ops.daily_totals(views(spark, rows), keep_invalid=True)
