@@ -352,7 +352,96 @@ SELECT "Contract", {', '.join(
     for c in WATCH
 )} FROM valid GROUP BY "Contract\""""
 
+
+
+def _figures(report: str, columns: list[str], table: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{report}' AS report, CAST(1 AS BIGINT) AS rank, CAST(NULL AS VARCHAR) AS label, '{c}' AS metric,
+            CAST("{c}" AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM ({table})"""
+        for c in columns
+    )
+
+
+def _chart(report: str, label: str, table: str) -> str:
+    return f"""SELECT '{report}' AS report, ROW_NUMBER() OVER (ORDER BY "count" DESC, "{label}") AS rank, "{label}" AS label,
+        'count' AS metric, CAST("count" AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM ({table})"""
+
+
+def _top(report: str, label: str, order: str, numbers: list[str], texts: list[str], table: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{report}' AS report, ROW_NUMBER() OVER (ORDER BY {order}) AS rank, "{label}" AS label, '{c}' AS metric,
+            {f'CAST("{c}" AS DOUBLE)' if c in numbers else 'CAST(NULL AS DOUBLE)'} AS value,
+            {'CAST(NULL AS VARCHAR)' if c in numbers else f'"{c}"'} AS text FROM ({table})"""
+        for c in numbers + texts
+    )
+
+
+def _content_kpi(columns: list[str], categories: list[str]) -> str:
+    return f"""SELECT COUNT(*) AS total_contracts,
+        {', '.join(f'{_avg(t, 0)} AS avg_{c.lower()}' for t, c in zip(columns, categories))},
+        COUNT(*) FILTER (WHERE "Active" = 'High') AS high_active,
+        COUNT(*) FILTER (WHERE "Active" = 'Low') AS low_active FROM content"""
+
+
+_CONTENT_BUNDLE = " UNION ALL ".join(
+    [
+        _figures("kpi", ["total_contracts", *[f"avg_{c.lower()}" for c in WATCH], "high_active", "low_active"], _content_kpi(_TOTALS, WATCH)),
+        _figures("duration", [f"{c.lower()}_h" for c in WATCH], f"SELECT {_HOURS} FROM content"),
+        _chart("mostWatch", "mostWatch", _count("MostWatch", "mostWatch", "content")),
+        _chart("taste", "taste", _count("Taste", "taste", "content", k=10)),
+        _top("topContracts", "contract", "total_hours DESC, contract", ["total_hours"], ["mostWatch", "active", "taste"], _TOP_CONTRACTS),
+    ]
+)
+_SEARCH_BUNDLE = " UNION ALL ".join(
+    [
+        _figures(
+            "kpi",
+            ["total_users", "avg_search_count", "avg_unique_kw", "avg_quit_rate", "high_active", "low_active", "has_plan", "no_plan"],
+            _SEARCH_KPI,
+        ),
+        _figures("interestSum", _SUM_NAMES, f"SELECT {_SUMS} FROM search"),
+        _chart("topInterest", "topInterest", _count("TopInterest", "topInterest", "search")),
+        _chart("platform", "mainPlatform", _count("MainPlatform", "mainPlatform", "search", "unknown", 10)),
+        _chart("isp", "mainISP", _count("MainISP", "mainISP", "search", "unknown", 10)),
+        _chart("plan", "planName", _count("PlanName", "planName", "search", "None", 10)),
+        _top(
+            "topUsers", "user_id", '"SearchCount" DESC, user_id', ["SearchCount", "UniqueKeyword", "SearchDays", "quit_pct"],
+            ["TopInterest", "MainPlatform", "SearchActive"], _TOP_USERS,
+        ),
+    ]
+)
+
+_OTHER_CONTENT = ["Screen", "Rest"]
+_OTHER_TOTALS = [f'"Total_{c}"' for c in _OTHER_CONTENT]
+_OTHER_HOURS = ", ".join(f'{_half_up(_sum(t) + " / 3600", 1)} AS {c.lower()}_h' for t, c in zip(_OTHER_TOTALS, _OTHER_CONTENT))
+_OTHER_LONG = " UNION ALL ".join(
+    [
+        _cells("content", "watch_hours", [(c, _half_up(_sum(t) + " / 3600", 1)) for c, t in zip(_OTHER_CONTENT, _OTHER_TOTALS)]),
+        _cells("content", "active", [(f"{x} Active", f"COUNT(*) FILTER (WHERE \"Active\" = '{x}')") for x in ("High", "Low")]),
+        _cells("search", "interest", [(k, f"SUM({c})") for k, c in zip(_OTHER_KINDS, _OTHER_COUNTS)]),
+        _cells("search", "plan", [("Có gói cước", 'COUNT(*) FILTER (WHERE "HasPlan")'), ("Không có gói", 'COUNT(*) FILTER (WHERE NOT "HasPlan")')]),
+    ]
+)
+
+
+def _other(query: str) -> str:
+    return f"WITH content AS ({_OTHER_VIEWS}), search AS ({_OTHER_SEARCHES}) {query}"
+
+
 ORACLE: dict[str, str] = {
+    "report_bundle_content": _views(_CONTENT_BUNDLE),
+    "report_bundle_search": _searches(_SEARCH_BUNDLE),
+    "other_rules_kpi": _other(_content_kpi(_OTHER_TOTALS, _OTHER_CONTENT)),
+    "other_rules_watch_hours": _other(f"SELECT {_OTHER_HOURS} FROM content"),
+    "other_rules_top_contracts": _other(
+        f"""SELECT "Contract" AS contract, {_half_up('("Total_Screen" + "Total_Rest") / 3600', 1)} AS total_hours,
+        "MostWatch" AS "mostWatch", "Active" AS active, "Taste" AS taste FROM content ORDER BY total_hours DESC, contract LIMIT 20"""
+    ),
+    "other_rules_interest_sum": _other(
+        f"SELECT {', '.join(f'CAST(SUM({c}) AS BIGINT) AS {k.lower()}' for k, c in zip(_OTHER_KINDS, _OTHER_COUNTS))} FROM search"
+    ),
+    "other_rules_isp": _other(_count("MainISP", "mainISP", "search", "?", 10)),
+    "other_rules_kpi_long": _other(f"SELECT a AS chart, b AS label, value FROM ({_OTHER_LONG})"),
     "watch_totals_fine": _FINE_TOTALS,
     "days_read": f"""WITH {VIEW_LOG}
         SELECT "Date", true AS read FROM view_log WHERE "AppName" IS NULL OR "AppName" <> 'CHILD' GROUP BY 1
@@ -389,6 +478,7 @@ ORACLE: dict[str, str] = {
     ),
     "content_profile": _views("SELECT * FROM content"),
     "content_job": _views("SELECT * FROM content"),
+    "content_job_kept": _views("SELECT * FROM content"),
     "classify_keyword": f'WITH {SEARCH_LOG} SELECT "eventID", keyword, {KEYWORD_CASE} FROM search_all',
     "filter_users": f'WITH {SEARCH_LOG} SELECT "eventID", user_id, "Date" FROM search_log',
     "search_behavior": f"WITH {SEARCH_LOG},{BEHAVIOR} SELECT * FROM behavior",
@@ -404,6 +494,7 @@ ORACLE: dict[str, str] = {
         LEFT JOIN plans USING (user_id)""",
     "search_profile": _searches("SELECT * FROM search"),
     "search_job": _searches("SELECT * FROM search"),
+    "search_job_kept": _searches("SELECT * FROM search"),
     "report_content_kpi": _views(
         f"""SELECT COUNT(*) AS total_contracts,
         {', '.join(f'{_avg(t, 0)} AS avg_{c.lower()}' for t, c in zip(_TOTALS, WATCH))},

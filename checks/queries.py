@@ -187,6 +187,29 @@ def days_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.days_read(spark, root, sources.read_daily_json(spark, root))
 
 
+def content_job_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a kept daily state: the first is given the odd days, and two even ones with half their views; the
+    second the even days."""
+    folder, log = fixtures.raw_folder(spark, "kept_views"), _views(spark, sf_dir)
+    even = F.col("Date") % 2 == 0
+    early = log.filter(~even | (F.col("Date").isin("20240102", "20240104") & (F.hash("TotalDuration") % 2 == 0)))
+    fixtures.write_view_days(early, f"{folder}/early")
+    fixtures.write_view_days(log.filter(even), f"{folder}/late")
+    plans.content_job_kept(spark, f"{folder}/early", f"{folder}/state", f"{folder}/first")
+    return plans.content_job_kept(spark, f"{folder}/late", f"{folder}/state", f"{folder}/second")
+
+
+def search_job_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `content_job_kept`, for searches."""
+    folder, log = fixtures.raw_folder(spark, "kept_searches"), fixtures.search_log(spark, sf_dir)
+    even, span = F.col("Date") % 2 == 0, (fixtures.SEARCH_START, fixtures.SEARCH_END)
+    early = log.filter(~even | (F.col("Date").isin("20220602", "20220612") & F.col("platform").isNotNull()))
+    fixtures.write_search_days(early, f"{folder}/early")
+    fixtures.write_search_days(log.filter(even), f"{folder}/late")
+    plans.search_job_kept(spark, f"{folder}/early", *span, f"{folder}/state", f"{folder}/first", fields=fixtures.SEARCH_FIELDS)
+    return plans.search_job_kept(spark, f"{folder}/late", *span, f"{folder}/state", f"{folder}/second", fields=fixtures.SEARCH_FIELDS)
+
+
 OTHER_VIEWS = ViewRules({"Screen": ["CHANNEL", "VOD"], "Rest": ["RELAX", "CHILD", "BHD"]}, invalid_contract="1", week_limit=1, month_limit=3)
 OTHER_SEARCHES = SearchRules({"News": "vtv", "Letters": "[aeiou]{2}"}, default="None", day_limit=10, unknown="?", no_plan="-")
 
@@ -282,6 +305,17 @@ def _search_report(name: str) -> Query:
     return lambda spark, sf_dir: plans.search_reports(_search(spark, sf_dir))[name]
 
 
+def other_rules_report(name: str) -> Query:
+    """A report over the profile of another platform."""
+    if name.startswith("search_"):
+        return lambda spark, sf_dir: plans.search_reports(other_rules_search(spark, sf_dir), OTHER_SEARCHES)[name[7:]]
+    return lambda spark, sf_dir: plans.content_reports(other_rules_content(spark, sf_dir), OTHER_VIEWS)[name]
+
+
+def other_rules_kpi_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.kpi_long(other_rules_content(spark, sf_dir), other_rules_search(spark, sf_dir), OTHER_VIEWS, OTHER_SEARCHES)
+
+
 _QUERIES: dict[str, Query] = {
     "scan_daily_json": scan_daily_json,
     "flatten_envelope": flatten_envelope,
@@ -301,6 +335,8 @@ _QUERIES: dict[str, Query] = {
     "content_activity_month": content_activity_month,
     "content_profile": _content,
     "content_job": content_job,
+    "content_job_kept": content_job_kept,
+    "search_job_kept": search_job_kept,
     "watch_totals_fine": watch_totals_fine,
     "days_read": days_read,
     "other_rules_content": other_rules_content,
@@ -330,6 +366,14 @@ _QUERIES: dict[str, Query] = {
     "report_isp": _search_report("isp"),
     "report_top_users": _search_report("topUsers"),
     "report_plan": _search_report("plan"),
+    "report_bundle_content": lambda s, d: plans.content_bundle(_content(s, d)),
+    "report_bundle_search": lambda s, d: plans.search_bundle(_search(s, d)),
+    "other_rules_kpi": other_rules_report("kpi"),
+    "other_rules_watch_hours": other_rules_report("duration"),
+    "other_rules_top_contracts": other_rules_report("topContracts"),
+    "other_rules_interest_sum": other_rules_report("search_interestSum"),
+    "other_rules_isp": other_rules_report("search_isp"),
+    "other_rules_kpi_long": other_rules_kpi_long,
     "report_most_watch_labels": lambda s, d: plans.most_watch_labels(_content(s, d)),
     "report_top_taste_ranked": report_top_taste_ranked,
     "report_top_contracts_ranked": report_top_contracts_ranked,

@@ -1,6 +1,7 @@
 from couchlog.operators.combine import attach_profiles, union_days
 from couchlog.operators.search import (
     classify_keyword,
+    daily_searches,
     explode_plans,
     filter_users,
     interests,
@@ -9,6 +10,7 @@ from couchlog.operators.search import (
     search_activity,
     search_behavior,
     search_profile,
+    search_profile_from_daily,
     top_interest,
 )
 from couchlog.operators.watch import (
@@ -32,6 +34,7 @@ __all__ = [
     "classify_keyword",
     "content_activity",
     "content_profile",
+    "daily_searches",
     "daily_totals",
     "day_limit",
     "days_covered",
@@ -47,6 +50,7 @@ __all__ = [
     "search_activity",
     "search_behavior",
     "search_profile",
+    "search_profile_from_daily",
     "taste",
     "top_interest",
     "union_days",

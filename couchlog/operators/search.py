@@ -46,6 +46,11 @@ def _numbers(search_log: DataFrame, rules: SearchRules) -> DataFrame:
         )
         .transform(classify_keyword, rules)
     )
+    return _fold_numbers(counts, rules)
+
+
+def _fold_numbers(counts: DataFrame, rules: SearchRules) -> DataFrame:
+    """Per user, from counts by keyword (`by_keyword`, ContentType) and counts by day."""
     by_keyword = F.col("by_keyword")
 
     def per_day(name: str) -> Column:
@@ -156,7 +161,11 @@ def search_profile(search_log: DataFrame, rules: SearchRules = SEARCHES) -> Data
     hash aggregate's buffer: only events that hold a plan are sorted, and only if their id is text.
     """
     log = filter_users(search_log)
-    users = _numbers(log, rules).join(_favourites(log), "user_id").join(_plans(log), "user_id", "left")
+    return _profile(_numbers(log, rules), _favourites(log), _plans(log), rules)
+
+
+def _profile(numbers: DataFrame, favourites: DataFrame, plans: DataFrame, rules: SearchRules) -> DataFrame:
+    users = numbers.join(favourites, "user_id", "left").join(plans, "user_id", "left")
     # Names and order of the profile's columns.
     return top_interest(users, rules).select(
         "user_id",
@@ -175,3 +184,45 @@ def search_profile(search_log: DataFrame, rules: SearchRules = SEARCHES) -> Data
         (F.col("PlanCount") > 0).alias("HasPlan"),
         activity_tier(F.col("SearchDays"), rules.day_limit, inclusive=True).alias("SearchActive"),
     )
+
+
+# Kinds of the rows of the daily state.
+_KEYWORD, _PLATFORM, _ISP, _PLAN = "keyword", "platform", "isp", "plan"
+_COUNTS = ["n", "searches", "enters", "quits", "entries"]
+
+
+def daily_searches(search_log: DataFrame) -> DataFrame:
+    """The state that search profiles are made of, by user and day: counts of each keyword, platform and provider, and
+    the day's first plan (see `_plans`). Counts may be added up further; no event id is needed any more, since
+    ids only order the plans of one day.
+    """
+    log = filter_users(search_log)
+    sets = [["user_id", "Date", name] for name in ("keyword", "platform", "proxy_isp")]
+    counts = log.groupingSets(sets, "user_id", "Date", "keyword", "platform", "proxy_isp").agg(
+        F.when(F.grouping("keyword") == 0, _KEYWORD).when(F.grouping("platform") == 0, _PLATFORM).otherwise(_ISP).alias("kind"),
+        F.count("*").alias("n"),
+        F.count("eventID").alias("searches"),
+        F.count_if(_is("enter")).alias("enters"),
+        F.count_if(_is("quit")).alias("quits"),
+        F.sum(F.coalesce(F.size(_entries()), F.lit(0)).cast("bigint")).alias("entries"),
+    )
+    counted = counts.select("user_id", "Date", "kind", F.coalesce("keyword", "platform", "proxy_isp").alias("value"), *_COUNTS)
+    held = log.withColumn("plan", plan_name(F.get(_entries(), F.lit(0)))).filter("plan IS NOT NULL")
+    seen = held.groupBy("user_id", "Date", "plan").agg(F.min("eventID").alias("event"))
+    first = seen.groupBy("user_id", "Date").agg(F.min(F.struct(F.col("event").isNull().alias("no_event"), "event", "plan"))["plan"].alias("value"))
+    nothing = [F.lit(0).cast("bigint").alias(c) for c in _COUNTS]
+    return counted.unionByName(first.select("user_id", "Date", F.lit(_PLAN).alias("kind"), "value", *nothing))
+
+
+def search_profile_from_daily(daily: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
+    """`search_profile`, from the rows of `daily_searches` of any number of days."""
+    keywords = daily.filter(F.col("kind") == _KEYWORD).withColumnRenamed("value", "keyword")
+    counts = keywords.groupingSets([["user_id", "keyword"], ["user_id", "Date"]], "user_id", "keyword", "Date").agg(
+        (F.grouping("keyword") == 0).alias("by_keyword"), *[F.sum(c).alias(c) for c in _COUNTS]
+    )
+    found = daily.filter(F.col("kind").isin(_PLATFORM, _ISP) & F.col("value").isNotNull())
+    found = found.groupBy("user_id", "kind", "value").agg(F.sum("n").alias("n"))
+    best = lambda kind: F.min(F.when(F.col("kind") == kind, F.struct(-F.col("n"), "value")))["value"]
+    favourites = found.groupBy("user_id").agg(best(_PLATFORM).alias("platform"), best(_ISP).alias("isp"))
+    plans = daily.filter(F.col("kind") == _PLAN).groupBy("user_id").agg(F.min(F.struct("Date", "value"))["value"].alias("PlanName"))
+    return _profile(_fold_numbers(classify_keyword(counts, rules), rules), favourites, plans, rules)

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -60,7 +61,8 @@ PLAN_LABELS = ["Có gói cước", "Không có gói"]
 
 @dataclass(frozen=True)
 class ViewRules:
-    """How views are counted. `categories` is the tie-break order; all keys of `codes` if left out."""
+    """How views are counted. `categories` is the tie-break order; all keys of `codes` if left out. `titles` are their
+    names in charts, in that order."""
 
     codes: Mapping[str, Sequence[str]]
     categories: Sequence[str] = ()
@@ -70,16 +72,23 @@ class ViewRules:
     week_days: int = WEEK_DAYS
     week_limit: int = WEEK_LIMIT
     month_limit: int = MONTH_LIMIT
+    titles: Sequence[str] = ()
 
     def __post_init__(self):
         object.__setattr__(self, "categories", list(self.categories or self.codes))
         if set(self.categories) != set(self.codes):
             raise ValueError("categories and codes have to name the same categories")
+        object.__setattr__(self, "titles", list(self.titles or self.labels))
 
     @property
     def labels(self) -> list[str]:
         return [c.replace("_", " ") for c in self.categories]
 
+    @property
+    def names(self) -> list[str]:
+        """Beginnings of the report columns of each category."""
+        return [c.lower() for c in self.categories]
+
 
 @dataclass(frozen=True)
 class SearchRules:
@@ -91,13 +100,21 @@ class SearchRules:
     day_limit: int = SEARCH_DAY_LIMIT
     no_plan: str = NO_PLAN
     unknown: str = UNKNOWN
+    high_quit_pct: float = HIGH_QUIT_PCT
+    titles: Sequence[str] = ()
 
     def __post_init__(self):
         known = list(dict.fromkeys([*self.patterns, self.default]))
         object.__setattr__(self, "categories", list(self.categories or known))
         if set(self.categories) != set(known):
             raise ValueError("categories have to be the patterns' and the default")
+        object.__setattr__(self, "titles", list(self.titles or self.categories))
+
+    @property
+    def names(self) -> list[str]:
+        """Report columns of the categories: GiaiTri is giai_tri."""
+        return [re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", c).lower() for c in self.categories]
 
 
-VIEWS = ViewRules(APP_CODES, WATCH_CATEGORIES)
-SEARCHES = SearchRules(KEYWORD_PATTERNS, categories=SEARCH_CATEGORIES)
+VIEWS = ViewRules(APP_CODES, WATCH_CATEGORIES, titles=WATCH_LABELS)
+SEARCHES = SearchRules(KEYWORD_PATTERNS, categories=SEARCH_CATEGORIES, titles=SEARCH_LABELS)

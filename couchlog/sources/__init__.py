@@ -4,10 +4,13 @@ from couchlog.sources.days import (
     NoDataError,
     days_read,
     flatten_envelope,
+    json_days,
+    parquet_days,
     read_daily_json,
     read_parquet_days,
     with_day,
 )
+from couchlog.sources.state import deliveries, read_state, take_in
 from couchlog.sources.tables import (
     count_jdbc,
     read_jdbc,
@@ -27,16 +30,21 @@ __all__ = [
     "VIEW_SCHEMA",
     "count_jdbc",
     "days_read",
+    "deliveries",
     "flatten_envelope",
+    "json_days",
+    "parquet_days",
     "read_daily_json",
     "read_jdbc",
     "read_parquet_days",
+    "read_state",
     "read_table",
     "remove",
     "split_by_text",
     "stage",
     "stage_root",
     "staging",
+    "take_in",
     "with_day",
     "write_jdbc",
     "write_table",

@@ -38,6 +38,11 @@ class DayFolder:
         found = self._fs.globStatus(self._path(f"{self.root}/{pattern}")) or []
         return sorted(status.getPath().getName() for status in found)
 
+    def files(self, entry: str) -> list[tuple[str, int, int]]:
+        """Name, size and time of the entry's file, or of the files in its folder."""
+        found = self._fs.listStatus(self._path(f"{self.root}/{entry}"))
+        return sorted((s.getPath().getName(), int(s.getLen()), int(s.getModificationTime())) for s in found)
+
     def day(self, entries: list[str]) -> Column:
         """Name of the entry a row was read from, as plain text."""
         below = F.substring_index(F.col("_metadata.file_path"), f"{self.uri_path}/", -1)
@@ -64,21 +69,27 @@ def _as_text(fields: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.NumericType) else f.dataType) for f in fields])
 
 
-def read_daily_json(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA) -> DataFrame:
-    """All days `yyyymmdd*.json` of a folder in one scan, with their `Date`.
+def json_days(spark: SparkSession, root: str) -> list[str]:
+    """Names of the entries that `read_daily_json` reads."""
+    entries = DayFolder(spark, root).entries(f"{EIGHT_DIGITS}*.json")
+    if not entries:
+        raise NoDataError(f"no day file {EIGHT_DIGITS}*.json in {root}")
+    return entries
+
+
+def read_daily_json(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA, days: list[str] | None = None) -> DataFrame:
+    """All days `yyyymmdd*.json` of a folder in one scan, with their `Date`; or only the entries `days`.
 
     Fields are declared, so nothing is inferred and a field that a day lacks is null. A declared
     number may be written as text; what is no number is null. A day without a readable record gives
     no row, and so is not a day read; `days_read` names it.
     """
     folder = DayFolder(spark, root)
-    pattern = f"{EIGHT_DIGITS}*.json"
-    entries = folder.entries(pattern)
-    if not entries:
-        raise NoDataError(f"no day file {pattern} in {root}")
+    entries = json_days(spark, root)
     wanted = T.StructType.fromDDL(fields)
     envelope = T.StructType().add("_source", _as_text(wanted))
-    lines = spark.read.schema(envelope).json(f"{folder.root}/{pattern}")
+    paths = f"{folder.root}/{EIGHT_DIGITS}*.json" if days is None else [f"{folder.root}/{day}" for day in days]
+    lines = spark.read.schema(envelope).json(paths)
     rows = flatten_envelope(with_day(lines, folder, entries, ".json"))
     cast = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in wanted if isinstance(f.dataType, T.NumericType)}
     return rows.withColumns(cast) if cast else rows
@@ -99,6 +110,15 @@ def _calendar(start: str, end: str) -> set[str]:
     return {(first + timedelta(days=n)).strftime("%Y%m%d") for n in range(count)}
 
 
+def parquet_days(spark: SparkSession, root: str, start: str, end: str) -> list[str]:
+    """Names of the day folders from start to end, both included."""
+    wanted = _calendar(start, end)
+    days = [name for name in DayFolder(spark, root).entries(EIGHT_DIGITS) if name in wanted]
+    if not days:
+        raise NoDataError(f"no day folder from {start} to {end} in {root}")
+    return days
+
+
 def read_parquet_days(
     spark: SparkSession,
     root: str,
@@ -106,8 +126,9 @@ def read_parquet_days(
     end: str,
     fields: str | None = SEARCH_SCHEMA,
     merge_schema: bool = False,
+    days: list[str] | None = None,
 ) -> DataFrame:
-    """The days from start to end (`yyyymmdd`, both included) in one scan, with their `Date`.
+    """The days from start to end (`yyyymmdd`, both included) in one scan, with their `Date`; of them only `days`, if given.
 
     Absent days are skipped; a day that is there but unreadable fails. Only the folders in the
     range are opened. Columns are matched by name to the declared fields. A column that is stored in
@@ -116,11 +137,8 @@ def read_parquet_days(
     all days have to share it. Pass None to take all columns from the files, with `merge_schema` where
     they were added over time.
     """
-    wanted = _calendar(start, end)
     folder = DayFolder(spark, root)
-    days = [name for name in folder.entries(EIGHT_DIGITS) if name in wanted]
-    if not days:
-        raise NoDataError(f"no day folder from {start} to {end} in {root}")
+    days = parquet_days(spark, root, start, end) if days is None else days
     paths = [f"{folder.root}/{day}" for day in days]
     if not fields:
         return with_day(spark.read.option("mergeSchema", merge_schema).parquet(*paths), folder, days)
