@@ -142,9 +142,20 @@ def write_broken_days(log: DataFrame, root: str) -> str:
     return _name_days(spark, root, ".json")
 
 
-def write_search_days(log: DataFrame, root: str) -> str:
+def write_rich_days(log: DataFrame, root: str) -> str:
+    """As `write_view_days`, with a field that no schema declares: an object with the day's weekday and a list."""
+    spark = log.sparkSession
+    day = F.to_date("Date", "yyyyMMdd")
+    device = F.struct(F.concat(F.lit("tv"), F.dayofweek(day).cast("string")).alias("model"), F.array(F.dayofmonth(day)).alias("codes"))
+    source = F.struct("Contract", "AppName", "TotalDuration", device.alias("Device"))
+    line = F.to_json(F.struct(F.lit("history").alias("_index"), source.alias("_source")))
+    log.select(line.alias("value"), F.col("Date").alias("day")).write.partitionBy("day").text(root)
+    return _name_days(spark, root, ".json")
+
+
+def write_search_days(log: DataFrame, root: str, mode: str = "error") -> str:
     """One `yyyymmdd` Parquet folder per day."""
-    log.withColumnRenamed("Date", "day").write.partitionBy("day").parquet(root)
+    log.withColumnRenamed("Date", "day").write.mode(mode).partitionBy("day").parquet(root)
     return _name_days(log.sparkSession, root, "")
 
 

@@ -428,7 +428,20 @@ def _other(query: str) -> str:
     return f"WITH content AS ({_OTHER_VIEWS}), search AS ({_OTHER_SEARCHES}) {query}"
 
 
+_BROKEN = """SELECT "Date" || CASE WHEN "AppName" = 'CHILD' THEN '_lost' ELSE '' END AS "Date", COUNT(*) AS lines,
+    COUNT(*) FILTER (WHERE "AppName" IN ('VOD', 'FIMS', 'CHILD')) AS lost FROM view_log GROUP BY 1"""
+# Ids as text on even days, as numbers on odd ones.
+_MIXED_ID = """CASE WHEN CAST("Date" AS INTEGER) % 2 = 0 THEN CAST("eventID" AS VARCHAR) ELSE lpad(CAST("eventID" AS VARCHAR), 20, '0') END"""
+
 ORACLE: dict[str, str] = {
+    "lost_lines": f"WITH {VIEW_LOG} {_BROKEN}",
+    "lost_in_job": f'WITH {VIEW_LOG} SELECT "Date", lost FROM ({_BROKEN}) WHERE lost > 0',
+    "undeclared_fields": f"""WITH {VIEW_LOG}
+        SELECT 'tv' || (dayofweek(day) + 1) AS model, "AppName", COUNT(*) AS views, CAST(SUM(dayofmonth(day)) AS BIGINT) AS codes
+        FROM (SELECT *, CAST(strptime("Date", '%Y%m%d') AS DATE) AS day FROM view_log) GROUP BY 1, 2""",
+    "search_job_mixed_ids": _searches("SELECT * FROM search").replace(
+        'ORDER BY "Date", "eventID" NULLS LAST, plan', f'ORDER BY "Date", {_MIXED_ID} NULLS LAST, plan'
+    ),
     "report_bundle_content": _views(_CONTENT_BUNDLE),
     "report_bundle_search": _searches(_SEARCH_BUNDLE),
     "other_rules_kpi": _other(_content_kpi(_OTHER_TOTALS, _OTHER_CONTENT)),

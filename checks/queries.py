@@ -138,6 +138,41 @@ def sink_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.write_table(_content(spark, sf_dir), fixtures.raw_folder(spark, "content_profile"))
 
 
+def lost_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and lost lines of each day, of which some were read and some not, from the counts per file."""
+    counts = sources.lost_lines(spark, _broken_days(spark, sf_dir))
+    return counts.groupBy("Date").agg(F.sum("lines").alias("lines"), F.sum("lost").alias("lost"))
+
+
+def lost_in_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lost lines of each day as the viewing job tells them, beside the profile and from the same read."""
+    kept = fixtures.raw_folder(spark, "lost")
+    sink = lambda df: df.groupBy("Date").agg(F.sum("lost").alias("lost")).write.parquet(kept)
+    plans.content_job(spark, _broken_days(spark, sf_dir), fixtures.raw_folder(spark, "content_job"), on_lost=sink)
+    return spark.read.schema("Date string, lost bigint").parquet(kept)
+
+
+def undeclared_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views by a field of the envelope that is not declared, and a value out of its list."""
+    root = _written(spark, sf_dir, "rich", lambda folder: fixtures.write_rich_days(_views(spark, sf_dir), folder))
+    log = sources.read_daily_json(spark, root, rest="source")
+    model, code = F.try_variant_get("source", "$.Device.model", "string"), F.try_variant_get("source", "$.Device.codes[0]", "bigint")
+    return log.groupBy(model.alias("model"), "AppName").agg(F.count("*").alias("views"), F.sum(code).alias("codes"))
+
+
+def search_job_mixed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids are numbers on odd days and text on even ones."""
+
+    def write(root: str) -> str:
+        log = fixtures.search_log(spark, sf_dir)
+        even = F.col("Date") % 2 == 0
+        fixtures.write_search_days(log.filter(~even), root)
+        return fixtures.write_search_days(log.filter(even).withColumn("eventID", F.col("eventID").cast("string")), root, "append")
+
+    days = _written(spark, sf_dir, "mixed", write)
+    return plans.search_job(spark, days, fixtures.SEARCH_START, fixtures.SEARCH_END, fixtures.raw_folder(spark, "search_job"))
+
+
 # --- viewing -------------------------------------------------------------------------------------
 
 
@@ -326,6 +361,10 @@ _QUERIES: dict[str, Query] = {
     "day_from_folder": day_from_folder,
     "union_days": union_days,
     "sink_table_roundtrip": sink_table_roundtrip,
+    "lost_lines": lost_lines,
+    "lost_in_job": lost_in_job,
+    "undeclared_fields": undeclared_fields,
+    "search_job_mixed_ids": search_job_mixed_ids,
     "classify_app": classify_app,
     "filter_contract": filter_contract,
     "watch_totals": watch_totals,

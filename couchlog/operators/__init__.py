@@ -24,6 +24,7 @@ from couchlog.operators.watch import (
     merged_daily,
     most_watch,
     profile_from_daily,
+    split_lost,
     taste,
     watch_totals,
 )
@@ -51,6 +52,7 @@ __all__ = [
     "search_behavior",
     "search_profile",
     "search_profile_from_daily",
+    "split_lost",
     "taste",
     "top_interest",
     "union_days",

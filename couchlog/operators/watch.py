@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from couchlog.functions import Amount, activity_tier, amount, by_value, checked_sum, combo_label, odd_total, top_label, total
 from couchlog.rules import VIEWS, ViewRules
+from couchlog.sources.days import LOST
 from couchlog.sources.tables import stage, stage_root
 
 _LIMB = "limb"
@@ -48,7 +49,8 @@ def _taken_apart(view_log: DataFrame, rules: ViewRules, keep_invalid: bool = Fal
     parts = amount(view_log, "TotalDuration")
     rows = view_log if keep_invalid else filter_contract(view_log, rules)
     contract = F.when(_valid(rules), F.col("Contract")) if keep_invalid else F.col("Contract")
-    return rows.select(contract.alias("Contract"), "Date", _category(rules).alias("k"), F.expr(parts.value).alias("value")), parts
+    kept = [LOST] if LOST in view_log.columns else []
+    return rows.select(contract.alias("Contract"), "Date", _category(rules).alias("k"), F.expr(parts.value).alias("value"), *kept), parts
 
 
 def _unit_sums(rules: ViewRules, units: str, condition: str = "true") -> list[Column]:
@@ -68,19 +70,31 @@ def daily_totals(view_log: DataFrame, rules: ViewRules = VIEWS, keep_invalid: bo
 
     Durations that are no whole thousandths add one row per contract, day and `bin`, with their limbs. All
     amounts are bigints that may be added up further, see `merged_daily`. `keep_invalid` adds one row without a
-    contract for each day with rows that do not count, which `days_covered` needs.
+    contract for each day with rows that do not count, which `days_covered` needs. Rows of lost lines (see
+    `read_daily_json`) are counted per day and file, as `lost`, in rows that `split_lost` takes out.
     """
     rows, parts = _taken_apart(view_log, rules, keep_invalid)
+    lost = LOST in view_log.columns
     # an odd row counts twice: for its day, and for its bin
     usual = "CAST(NULL AS int)"
     bins = F.expr(f"explode(CASE WHEN k IS NOT NULL AND {parts.odd} THEN array({usual}, {_place(parts)}) ELSE array({usual}) END)")
     return (
         rows.select("*", bins.alias(_BIN))
-        .groupBy("Contract", "Date", _BIN)
-        .agg(*_unit_sums(rules, parts.units, f"{_BIN} IS NULL"), *_limb_sums(parts.limbs, f"{_BIN} IS NOT NULL"))
+        .groupBy("Contract", "Date", _BIN, *([LOST] if lost else []))
+        .agg(
+            *_unit_sums(rules, parts.units, f"{_BIN} IS NULL"),
+            *_limb_sums(parts.limbs, f"{_BIN} IS NOT NULL"),
+            *([F.count(LOST).alias("lost")] if lost else []),
+        )
     )
 
 
+def split_lost(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Daily totals that were made with lost lines: without them, and the lost lines per Date and file."""
+    own = daily.filter(F.col(LOST).isNull()).drop(LOST, "lost")
+    return own, daily.filter(F.col(LOST).isNotNull()).select("Date", F.col(LOST).alias("file"), "lost")
+
+
 def merged_daily(daily: DataFrame, *keys: str) -> DataFrame:
     """Daily totals added up further, for example without the day, or over states that were kept apart."""
     amounts = [c for c in daily.columns if c not in ("Contract", "Date", _BIN)]

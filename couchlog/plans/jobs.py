@@ -14,6 +14,7 @@ from couchlog.operators import (
     profile_from_daily,
     search_profile,
     search_profile_from_daily,
+    split_lost,
 )
 from couchlog.rules import SEARCHES, VIEWS, SearchRules, ViewRules
 from couchlog.sources import (
@@ -44,17 +45,21 @@ def content_job(
     rules: ViewRules = VIEWS,
     limit: Column | int | None = None,
     on_days: Sink | None = None,
+    on_lost: Sink | None = None,
 ) -> DataFrame:
     """Read all viewing days under `logs`, write the contract profiles to `target`, return them.
 
     The raw JSON is parsed once: the daily totals are staged, and the activity limit (it depends on
     the number of days read, unless it is given), the profile and the report of days are taken from
     them. They are deleted at the end, also if the job fails. `on_days` gets one row per day entry,
-    (Date, read): a day without a readable record was not read.
+    (Date, read): a day without a readable record was not read. `on_lost` gets the lines that could not be
+    read, counted in the same pass over the log: one row per day and file that has any (Date, file, lost).
     """
-    log = read_daily_json(spark, logs, fields)
+    log = read_daily_json(spark, logs, fields, lost=True)
     with staging(spark) as folder:
-        daily = stage(daily_totals(log, rules, keep_invalid=True), f"{folder}/daily")
+        daily, lost = split_lost(stage(daily_totals(log, rules, keep_invalid=True), f"{folder}/daily"))
+        if on_lost is not None:
+            on_lost(lost)
         if on_days is not None:
             on_days(days_read(spark, logs, daily))
         if daily.isEmpty():

@@ -5,9 +5,11 @@ from couchlog.sources.days import (
     days_read,
     flatten_envelope,
     json_days,
+    lost_lines,
     parquet_days,
     read_daily_json,
     read_parquet_days,
+    unreadable_lines,
     with_day,
 )
 from couchlog.sources.state import deliveries, read_state, take_in
@@ -33,6 +35,7 @@ __all__ = [
     "deliveries",
     "flatten_envelope",
     "json_days",
+    "lost_lines",
     "parquet_days",
     "read_daily_json",
     "read_jdbc",
@@ -45,6 +48,7 @@ __all__ = [
     "stage_root",
     "staging",
     "take_in",
+    "unreadable_lines",
     "with_day",
     "write_jdbc",
     "write_table",

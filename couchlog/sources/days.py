@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ class DayFolder:
     """The log's root folder on whatever file system its scheme names."""
 
     def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self.root = root.rstrip("/")
         path = self._path(self.root)
@@ -43,9 +45,9 @@ class DayFolder:
         found = self._fs.listStatus(self._path(f"{self.root}/{entry}"))
         return sorted((s.getPath().getName(), int(s.getLen()), int(s.getModificationTime())) for s in found)
 
-    def day(self, entries: list[str]) -> Column:
+    def day(self, entries: list[str], path: str = "_metadata.file_path") -> Column:
         """Name of the entry a row was read from, as plain text."""
-        below = F.substring_index(F.col("_metadata.file_path"), f"{self.uri_path}/", -1)
+        below = F.substring_index(F.col(path), f"{self.uri_path}/", -1)
         name = F.substring_index(below, "/", 1)
         if all(re.fullmatch(r"[\w.-]+", entry, re.ASCII) for entry in entries):
             return name
@@ -77,24 +79,74 @@ def json_days(spark: SparkSession, root: str) -> list[str]:
     return entries
 
 
-def read_daily_json(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA, days: list[str] | None = None) -> DataFrame:
+LOST = "lost_file"
+_CORRUPT = "_corrupt_record"
+
+
+def _json_lines(spark: SparkSession, root: str, wanted: T.StructType, days: list[str] | None, rest: str | None) -> DataFrame:
+    """Every line of the days: _source, Date, the line itself if it is no JSON, file; and all of `_source` as VARIANT."""
+    folder = DayFolder(spark, root)
+    entries = json_days(spark, root)
+    paths = f"{folder.root}/{EIGHT_DIGITS}*.json" if days is None else [f"{folder.root}/{day}" for day in days]
+    envelope = T.StructType().add("_source", _as_text(wanted)).add(_CORRUPT, T.StringType())
+    if rest is None:
+        lines = spark.read.schema(envelope).option("columnNameOfCorruptRecord", _CORRUPT).json(paths)
+    else:
+        options = {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
+        text = spark.read.text(paths).filter(F.trim("value") != "")
+        both = text.select("*", F.from_json("value", envelope, options).alias("line"), "_metadata.file_path", "_metadata.file_name")
+        whole = F.try_variant_get(F.try_parse_json("value"), "$._source", "variant")
+        return both.select(
+            "line._source", F.col(f"line.{_CORRUPT}").alias(_CORRUPT), F.when(F.col("line._source").isNotNull(), whole).alias(rest),
+            F.replace(folder.day(entries, "file_path"), F.lit(".json"), F.lit("")).alias("Date"), "file_name",
+        )
+    return with_day(lines, folder, entries, ".json").select("_source", _CORRUPT, "Date", F.col("_metadata.file_name").alias("file_name"))
+
+
+def read_daily_json(
+    spark: SparkSession,
+    root: str,
+    fields: str = VIEW_SCHEMA,
+    days: list[str] | None = None,
+    lost: bool = False,
+    rest: str | None = None,
+) -> DataFrame:
     """All days `yyyymmdd*.json` of a folder in one scan, with their `Date`; or only the entries `days`.
 
     Fields are declared, so nothing is inferred and a field that a day lacks is null. A declared
     number may be written as text; what is no number is null. A day without a readable record gives
     no row, and so is not a day read; `days_read` names it.
+
+    With `lost`, a line that is no JSON or has no `_source` is a row of nulls with the name of its file as
+    `lost_file` (null in all other rows), so that lines can be counted in the same read. `rest` names a column for
+    the whole of `_source` as VARIANT: fields that are not declared are read from it by `try_variant_get`.
     """
-    folder = DayFolder(spark, root)
-    entries = json_days(spark, root)
     wanted = T.StructType.fromDDL(fields)
-    envelope = T.StructType().add("_source", _as_text(wanted))
-    paths = f"{folder.root}/{EIGHT_DIGITS}*.json" if days is None else [f"{folder.root}/{day}" for day in days]
-    lines = spark.read.schema(envelope).json(paths)
-    rows = flatten_envelope(with_day(lines, folder, entries, ".json"))
+    lines = _json_lines(spark, root, wanted, days, rest)
+    extra = [rest] if rest else []
+    if lost:
+        gone = F.when(F.col("_source").isNull(), F.col("file_name")).alias(LOST)
+        rows = lines.select("_source.*", *extra, "Date", gone)
+    else:
+        rows = lines.filter(F.col("_source").isNotNull()).select("_source.*", *extra, "Date")
     cast = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in wanted if isinstance(f.dataType, T.NumericType)}
     return rows.withColumns(cast) if cast else rows
 
 
+def unreadable_lines(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA) -> DataFrame:
+    """Date, file and text of each line that is no JSON; text is null for JSON without `_source`. To be kept and repaired."""
+    lines = _json_lines(spark, root, T.StructType.fromDDL(fields), None, None)
+    return lines.filter(F.col("_source").isNull()).select("Date", F.col("file_name").alias("file"), F.col(_CORRUPT).alias("line"))
+
+
+def lost_lines(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA) -> DataFrame:
+    """Lines and lost lines of each day and file: Date, file, lines, lost."""
+    lines = _json_lines(spark, root, T.StructType.fromDDL(fields), None, None)
+    # the corrupt column has to be read, or else the reader parses no more than it needs
+    gone = F.col("_source").isNull() | F.col(_CORRUPT).isNotNull()
+    return lines.groupBy("Date", F.col("file_name").alias("file")).agg(F.count("*").alias("lines"), F.count_if(gone).alias("lost"))
+
+
 def days_read(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
     """One row per day entry under `root`: Date, and whether the log (or its daily totals) has a row of it."""
     folder = DayFolder(spark, root)
@@ -133,8 +185,9 @@ def read_parquet_days(
     Absent days are skipped; a day that is there but unreadable fails. Only the folders in the
     range are opened. Columns are matched by name to the declared fields. A column that is stored in
     another type is read in that and cast to the declared one; `eventID` keeps the stored type, so
-    that numbers order by value and text as text. The type is taken from one file of the first day,
-    all days have to share it. Pass None to take all columns from the files, with `merge_schema` where
+    that numbers order by value and text as text. Days may differ in their types, the files of one day may
+    not: one file of each day is asked, days of the same types are one scan, and ids of several types are
+    widened as `_mixed_id` says. Pass None to take all columns from the files, with `merge_schema` where
     they were added over time.
     """
     folder = DayFolder(spark, root)
@@ -143,8 +196,80 @@ def read_parquet_days(
     if not fields:
         return with_day(spark.read.option("mergeSchema", merge_schema).parquet(*paths), folder, days)
     declared = T.StructType.fromDDL(fields)
-    stored = {f.name: f.dataType for f in spark.read.parquet(paths[0]).schema}
+    groups = schema_groups(folder, days)
+    ids = _id_types([stored for _, stored in groups]) if "eventID" in declared.names else []
+    frames = [_read_group(folder, names, stored, declared, ids) for names, stored in groups]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def schema_groups(folder: DayFolder, days: list[str]) -> list[tuple[list[str], dict[str, T.DataType]]]:
+    """The days by the types of their columns: (days, type of each column), where columns may be absent in some days.
+
+    One footer of each day is read, those of many days in one Spark job; only where types differ, the days
+    are halved until each part agrees. Parts that agree are put together, so there is one scan per set of types.
+    """
+
+    def types(names: list[str]) -> list[tuple[list[str], dict[str, T.DataType]]]:
+        paths = [f"{folder.root}/{name}/{file}" for name, file in samples.items() if name in set(names)]
+        if not paths:
+            return [(names, {})]
+        try:
+            merged = folder.spark.read.option("mergeSchema", True).parquet(*paths).schema
+        except Exception as e:
+            if len(names) == 1 or "MERGE" not in str(e).upper():
+                raise
+            half = len(names) // 2
+            return types(names[:half]) + types(names[half:])
+        return [(names, {f.name: f.dataType for f in merged})]
+
+    samples = {}
+    for day in days:
+        data = [name for name, size, _ in folder.files(day) if size and not name.startswith(("_", "."))]
+        samples |= {day: data[0]} if data else {}
+    parts = types(days)
+    out: list[tuple[list[str], dict[str, T.DataType]]] = []
+    for names, stored in parts:
+        same = next((k for k, (_, other) in enumerate(out) if all(other[c] == stored[c] for c in other.keys() & stored.keys())), None)
+        if same is None:
+            out.append((list(names), dict(stored)))
+        else:
+            out[same] = (out[same][0] + names, out[same][1] | stored)
+    return out
+
+
+def _id_types(groups: list[dict[str, T.DataType]]) -> list[T.DataType]:
+    """The types that event ids are stored in."""
+    return list(dict.fromkeys(g["eventID"] for g in groups if "eventID" in g))
+
+
+def _read_group(folder: DayFolder, days: list[str], stored: dict[str, T.DataType], declared: T.StructType, ids: list[T.DataType]) -> DataFrame:
+    """Days of one set of types in one scan, cast to the declared ones; event ids as `ids` of all days ask for."""
     read_as = T.StructType([T.StructField(f.name, stored.get(f.name, f.dataType)) for f in declared])
-    rows = with_day(spark.read.schema(read_as).parquet(*paths), folder, days)
-    other = {f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in declared if f.name != "eventID" and stored.get(f.name, f.dataType) != f.dataType}
-    return rows.withColumns(other) if other else rows
+    rows = folder.spark.read.schema(read_as).parquet(*[f"{folder.root}/{day}" for day in days])
+    cast = {}
+    for f in declared:
+        kind = stored.get(f.name, f.dataType)
+        if f.name != "eventID":
+            cast |= {} if kind == f.dataType else {f.name: F.col(f"`{f.name}`").cast(f.dataType)}
+        elif len(ids) > 1:
+            cast["eventID"] = _mixed_id(kind, ids)
+        elif not ids:
+            cast["eventID"] = F.col("eventID").cast(f.dataType)
+        elif kind != ids[0]:  # absent in these days
+            cast["eventID"] = F.lit(None).cast(ids[0])
+    rows = with_day(rows, folder, days)
+    return rows.withColumns(cast) if cast else rows
+
+
+def _mixed_id(kind: T.DataType, ids: list[T.DataType]) -> Column:
+    """An id where days store it in several types: whole numbers as decimal(38,0); with text as well, a pair of which
+    one is null, so that numbers go by value and text as text (text first, if one day should have both)."""
+    whole = (T.IntegralType, T.DecimalType)
+    if all(isinstance(i, whole) and getattr(i, "scale", 0) == 0 for i in ids):
+        return F.col("eventID").cast("decimal(38,0)")
+    number = isinstance(kind, T.NumericType)
+    pair = F.struct(
+        (F.col("eventID").cast("decimal(38,6)") if number else F.lit(None).cast("decimal(38,6)")).alias("number"),
+        (F.lit(None).cast("string") if number else F.col("eventID").cast("string")).alias("text"),
+    )
+    return F.when(F.col("eventID").isNotNull(), pair)
