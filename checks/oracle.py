@@ -433,7 +433,16 @@ _BROKEN = """SELECT "Date" || CASE WHEN "AppName" = 'CHILD' THEN '_lost' ELSE ''
 # Ids as text on even days, as numbers on odd ones.
 _MIXED_ID = """CASE WHEN CAST("Date" AS INTEGER) % 2 = 0 THEN CAST("eventID" AS VARCHAR) ELSE lpad(CAST("eventID" AS VARCHAR), 20, '0') END"""
 
+_JUNE = """"Date" BETWEEN '20220616' AND '20220630'"""
+
 ORACLE: dict[str, str] = {
+    "classify_app_table": f'WITH {VIEW_LOG},{VIEWS} SELECT "Contract", "AppName", "Type" FROM typed',
+    "classify_app_shuffled": f'WITH {VIEW_LOG},{VIEWS} SELECT "Contract", "AppName", "Type" FROM typed',
+    "unique_keywords_range": f"""WITH {SEARCH_LOG} SELECT user_id, COUNT(DISTINCT keyword) AS "UniqueKeyword" FROM search_log
+        WHERE keyword IS NOT NULL AND {_JUNE} GROUP BY user_id""",
+    "frequent_keywords_range": f"""WITH {SEARCH_LOG} SELECT keyword, COUNT(*) AS "count" FROM search_log
+        WHERE keyword IS NOT NULL AND {_JUNE} GROUP BY keyword ORDER BY 2 DESC, 1 LIMIT 5""",
+    "frequent_providers": _searches(_count("MainISP", "mainISP", "search", "unknown", 10)),
     "lost_lines": f"WITH {VIEW_LOG} {_BROKEN}",
     "lost_in_job": f'WITH {VIEW_LOG} SELECT "Date", lost FROM ({_BROKEN}) WHERE lost > 0',
     "undeclared_fields": f"""WITH {VIEW_LOG}

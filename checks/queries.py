@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from couchlog import operators as ops
 from couchlog import plans, sources
-from couchlog.rules import SearchRules, ViewRules
+from couchlog.rules import VIEWS, SearchRules, ViewRules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,6 +180,24 @@ def classify_app(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.classify_app(_views(spark, sf_dir)).select("Contract", "AppName", "Type")
 
 
+def _rule_rows(spark: SparkSession) -> DataFrame:
+    """The app codes as a table, with a code twice and one without a category."""
+    rows = [(code, category) for category, codes in VIEWS.codes.items() for code in codes]
+    return spark.createDataFrame([*rows, ("VOD", "Z"), (None, "Z"), ("BHD", None)], "code string, category string")
+
+
+def classify_app_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a rule table that is broadcast."""
+    typed = ops.classify_by_table(_views(spark, sf_dir), "AppName", _rule_rows(spark), VIEWS.unknown_app)
+    return typed.select("Contract", "AppName", "Type")
+
+
+def classify_app_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the same table, as if it were too large for a broadcast."""
+    typed = ops.classify_by_table(_views(spark, sf_dir), "AppName", _rule_rows(spark), VIEWS.unknown_app, broadcast_bytes=0)
+    return typed.select("Contract", "AppName", "Type")
+
+
 def filter_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.filter_contract(_views(spark, sf_dir))
 
@@ -291,6 +309,27 @@ def main_isp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.main_value(_searches(spark, sf_dir), "user_id", "proxy_isp", "MainISP")
 
 
+def unique_keywords_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct keywords of June's second half, from daily sketches that are kept as Parquet."""
+    sketches = sources.write_table(ops.daily_distinct(_searches(spark, sf_dir), "user_id", "keyword"), fixtures.raw_folder(spark, "sketches"))
+    return ops.distinct_over(sketches, "user_id", "20220616", "20220630", "UniqueKeyword")
+
+
+def frequent_keywords_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 most frequent keywords of June's second half, from daily sketches."""
+    log = _searches(spark, sf_dir)
+    sketches = sources.write_table(ops.daily_frequent(log, "keyword"), fixtures.raw_folder(spark, "frequent"))
+    return ops.frequent_over(sketches, log, "keyword", 5, "20220616", "20220630")
+
+
+def frequent_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As report_isp, over daily sketches of the users' favourites: each user on the last day of the log."""
+    profile = _search(spark, sf_dir).select(F.lit(fixtures.SEARCH_END).alias("Date"), F.col("MainISP").alias("mainISP")).filter("mainISP <> 'unknown'")
+    kept = sources.write_table(profile, fixtures.raw_folder(spark, "favourites"))
+    sketches = ops.daily_frequent(kept, "mainISP", 1024)
+    return ops.frequent_over(sketches, kept, "mainISP", 10, fixtures.SEARCH_START, fixtures.SEARCH_END, 1024)
+
+
 def explode_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.explode_plans(_searches(spark, sf_dir))
 
@@ -366,6 +405,11 @@ _QUERIES: dict[str, Query] = {
     "undeclared_fields": undeclared_fields,
     "search_job_mixed_ids": search_job_mixed_ids,
     "classify_app": classify_app,
+    "classify_app_table": classify_app_table,
+    "classify_app_shuffled": classify_app_shuffled,
+    "unique_keywords_range": unique_keywords_range,
+    "frequent_keywords_range": frequent_keywords_range,
+    "frequent_providers": frequent_providers,
     "filter_contract": filter_contract,
     "watch_totals": watch_totals,
     "most_watch": most_watch,

@@ -140,7 +140,8 @@ def unreadable_lines(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA)
 
 
 def lost_lines(spark: SparkSession, root: str, fields: str = VIEW_SCHEMA) -> DataFrame:
-    """Lines and lost lines of each day and file: Date, file, lines, lost."""
+    """Lines and lost lines of each day and file: Date, file, lines, lost. Blank lines and empty lists (`[]`) hold nothing
+    and are not counted; a list of objects counts as its objects."""
     lines = _json_lines(spark, root, T.StructType.fromDDL(fields), None, None)
     # the corrupt column has to be read, or else the reader parses no more than it needs
     gone = F.col("_source").isNull() | F.col(_CORRUPT).isNotNull()
