@@ -130,7 +130,8 @@ def _plans(search_log: DataFrame) -> DataFrame:
 
 def plan_summary(search_log: DataFrame, rules: SearchRules = SEARCHES) -> DataFrame:
     """First plan name (see `_plans`), number of plan entries over all events, and whether there is any."""
-    counts = _numbers(search_log, rules).select("user_id", "PlanCount")
+    entries = F.sum(F.coalesce(F.size(_entries()), F.lit(0)).cast("bigint"))
+    counts = search_log.groupBy("user_id").agg(entries.alias("PlanCount"))
     named = counts.join(_plans(search_log), "user_id", "left").select("user_id", "PlanName", "PlanCount")
     return named.withColumn("HasPlan", F.col("PlanCount") > 0)
 
@@ -138,7 +139,7 @@ def plan_summary(search_log: DataFrame, rules: SearchRules = SEARCHES) -> DataFr
 def search_activity(search_log: DataFrame, limit: int | None = None, rules: SearchRules = SEARCHES) -> DataFrame:
     """Distinct search days per user and the activity level."""
     limit = rules.day_limit if limit is None else limit
-    days = _numbers(search_log, rules).select("user_id", "SearchDays")
+    days = search_log.select("user_id", "Date").distinct().groupBy("user_id").agg(F.count("Date").alias("SearchDays"))
     return days.withColumn("SearchActive", activity_tier(F.col("SearchDays"), limit, inclusive=True))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from couchlog.functions import Amount, activity_tier, amount, by_value, checked_sum, combo_label, odd_total, top_label, total
 from couchlog.rules import VIEWS, ViewRules
 from couchlog.sources.days import LOST
-from couchlog.sources.tables import stage, stage_root
+from couchlog.sources.tables import stage
 
 _LIMB = "limb"
 _BIN = "bin"
@@ -171,24 +171,15 @@ def day_limit(log_or_daily: DataFrame, rules: ViewRules = VIEWS) -> Column:
     return days_covered(log_or_daily).select(limit.alias("day_limit")).scalar()
 
 
-def _staged_daily(view_log: DataFrame, rules: ViewRules) -> DataFrame:
-    daily = daily_totals(view_log, rules, keep_invalid=True)
-    return stage(daily, f"{stage_root(view_log.sparkSession)}/daily")
-
-
 def content_activity(view_log: DataFrame, limit: Column | int | None = None, rules: ViewRules = VIEWS) -> DataFrame:
     """Distinct viewing days per contract and the activity level.
 
     Without a limit, the week's for up to a week of log and the month's beyond, see `content_profile`.
     """
-    if limit is None:
-        daily = _staged_daily(view_log, rules)
-        limit = day_limit(daily, rules)
-        usual = daily.filter(F.col("Contract").isNotNull() & F.col(_BIN).isNull())
-    else:
-        usual = filter_contract(view_log, rules).select("Contract", "Date").distinct()
-    days = usual.groupBy("Contract").agg(F.count("Date").alias("DayCount"))
-    return days.withColumn("Active", activity_tier(F.col("DayCount"), limit, inclusive=False))
+    limit = day_limit(view_log, rules) if limit is None else limit
+    days = filter_contract(view_log, rules).select("Contract", "Date").distinct()
+    counts = days.groupBy("Contract").agg(F.count("Date").alias("DayCount"))
+    return counts.withColumn("Active", activity_tier(F.col("DayCount"), limit, inclusive=False))
 
 
 def profile_from_daily(daily: DataFrame, limit: Column | int, rules: ViewRules = VIEWS) -> DataFrame:
@@ -207,15 +198,18 @@ def _profile(totals: DataFrame, limit: Column | int, rules: ViewRules) -> DataFr
     )
 
 
-def content_profile(view_log: DataFrame, limit: Column | int | None = None, rules: ViewRules = VIEWS) -> DataFrame:
+def content_profile(
+    view_log: DataFrame, limit: Column | int | None = None, rules: ViewRules = VIEWS, folder: str | None = None
+) -> DataFrame:
     """One profile row per contract.
 
-    Without a limit, it follows from the number of days in the log. The log is then read once, for the
-    daily totals, which are kept as Parquet in the shared folder; limit and profile come from those.
-    The folder is the caller's to clear, like all of the shared folder; `couchlog.plans.content_job`
-    clears its own.
+    Without a limit, it follows from the number of days in the log, a subquery that reads the log's `Date` alone.
+    Where one more look at the log is dear (JSON, or many rows with odd durations), pass a `folder` of the
+    caller's (`couchlog.sources.staging` deletes its own): the daily totals are written there at once, and limit
+    and profile come from them. `couchlog.plans.content_job` does so.
     """
-    if limit is not None:
-        return _profile(_log_totals(view_log, rules, days=True), limit, rules)
-    daily = _staged_daily(view_log, rules)
-    return profile_from_daily(daily, day_limit(daily, rules), rules)
+    if folder is not None:
+        daily = stage(daily_totals(view_log, rules, keep_invalid=True), folder)
+        return profile_from_daily(daily, day_limit(daily, rules) if limit is None else limit, rules)
+    limit = day_limit(view_log, rules) if limit is None else limit
+    return _profile(_log_totals(view_log, rules, days=True), limit, rules)

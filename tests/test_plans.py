@@ -5,7 +5,8 @@ import re
 import pytest
 
 from couchlog import operators as ops
-from couchlog.plans import distribution, top_users
+from couchlog.plans import content_bundle, distribution, search_bundle, top_users
+from couchlog.sources import write_table
 
 VIEWS = "Contract string, AppName string, TotalDuration double, Date string, unused string"
 SEARCHES = (
@@ -35,21 +36,42 @@ def shuffles(df):
 def test_content_profile(spark, logs):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     df = ops.content_profile(logs[0], 4)
-    assert [re.sub(r"#\d+", "", keys) for keys in shuffles(df)] == ["Contract", "Contract, Date"]
+    own = [re.sub(r"#\d+", "", keys) for keys in shuffles(df)]
+    # contract and day; odd durations by contract and bin; both come together by contract
+    assert sorted(own) == ["Contract", "Contract", "Contract, Date", "Contract, _groupingexpression"]
     text = plan(df)
-    assert "Join" not in text and "SortAggregate" not in text and "ObjectHash" not in text
-    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan(df)).group(1)
-    assert "Not(EqualTo(Contract,0))" in pushed and "In(AppName" in pushed
+    assert text.count("Join") == 1 and "SortAggregate" not in text and text.count("ObjectHash") <= 2
+    assert text.count("FileScan parquet") == 2 and "NestedLoop" not in text and "Cartesian" not in text
+    for pushed in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", text):
+        assert "Not(EqualTo(Contract,0))" in pushed and "In(AppName" in pushed
     assert "unused" not in text
 
 
-def test_profile_without_a_limit_reads_staged_totals(logs):
-    df = ops.content_profile(logs[0])
+def test_odd_durations_cost_a_usual_log_no_join(spark):
+    """AQE drops the join when there is nothing to join."""
+    log = spark.createDataFrame([("C1", "VOD", 1.5, "20220401", "")] * 3, VIEWS)
+    df = ops.watch_totals(log)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final and "Join" not in final
+
+
+def test_profile_from_a_folder_reads_staged_totals(logs, tmp_path):
+    df = ops.content_profile(logs[0], folder=f"{tmp_path}/daily")
     text = df._jdf.queryExecution().toString()
     assert df.inputFiles() and all("/daily/" in name for name in df.inputFiles())
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_reports_share_one_read(logs, tmp_path):
+    """All figures and charts are one scan of the written profile; the top table is the other."""
+    views = write_table(ops.content_profile(logs[0], 4), f"{tmp_path}/views")
+    searches = write_table(ops.search_profile(logs[1]), f"{tmp_path}/searches")
+    for bundle in (content_bundle(views), search_bundle(searches)):
+        text = plan(bundle)
+        assert text.count("FileScan") == 2 and text.count("TakeOrderedAndProject") == 1 and "WindowGroupLimit" in text
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 def test_search_profile(logs, kind):
     log = logs[1].withColumn("eventID", logs[1]["eventID"].cast(kind))
