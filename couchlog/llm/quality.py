@@ -10,9 +10,11 @@ Training uses at most `max_rows` labelled rows of each label, those with the sma
 id. Scores and decisions cover all documents.
 
 Defined cases: a null or empty text has all features 0 and gets the score of that; labels that are
-null, or of documents that do not exist, are not used; with only one label, or none, every score is
-`CUT`, so that nothing is rejected; null ids are never used for training and are scored; repeated
-rows give repeated results; other columns play no part.
+null, or of documents that do not exist, are not used, nor is an id that has both labels; an id
+with several texts is learnt with the smallest of them (null as empty); with only one label, or none, every score is
+`CUT`, so that nothing is rejected; null ids are never used for training and are scored; a very long text is
+described in pieces of about a MB; repeated rows give repeated results; other columns play no part. So the
+model depends on the rows alone, not on their order or partitions.
 """
 
 from __future__ import annotations
@@ -171,11 +173,13 @@ def _describe_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Learn from the labelled documents that are not held out."""
-    known = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    known = known.filter(F.col("doc_id").isNotNull() & ~held_out()).dropDuplicates(["doc_id"])
+    known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+    bounds = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("quality").cast("int").alias("other"))
+    known = bounds.filter("quality = other").drop("other")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [known.filter(F.col("quality") == q).orderBy(*order).limit(max_rows) for q in (0, 1)]
-    rows = docs.select("doc_id", "text").join(picked[0].unionByName(picked[1]), "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked[0].unionByName(picked[1]), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # at most `max_rows` of each label
     found = rows.select("quality", "text").mapInArrow(_describe_batches, schema("quality int, features binary")).collect()
     found.sort(key=lambda r: (r["quality"], bytes(r["features"])))
     x = np.array([np.frombuffer(r["features"], np.float32) for r in found], np.float32).reshape(-1, N_FEATURES)
@@ -184,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
 
 
 def score_quality(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All rows and columns of `docs`, plus `score` (0 to 1)."""
+    """All rows and columns of `docs`, plus `score` (0 to 1); a column of that name, in upper or lower case, is replaced."""
     out = docs.drop("score")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
 

@@ -40,7 +40,8 @@ def brute(rows, items, labels):
     x = quality.features(*utf8(pa.array([t for _, t in rows], pa.string())))
     import zlib
 
-    learn = [k for k, (i, _) in enumerate(rows) if i in truth and zlib.crc32(str(i).encode()) % 4 != 2]
+    once = {i: k for k, (i, _) in enumerate(rows)}  # repeated ids of labelled rows have one text here
+    learn = [k for i, k in once.items() if i in truth and zlib.crc32(str(i).encode()) % 4 != 2]
     model = quality.fit(*[np.array(sorted((x[k] for k in learn if truth[rows[k][0]] == q), key=lambda r: r.tobytes())) for q in (1, 0)])
     rows = [r for r, s in zip(rows, model.score(x.astype(float))) if s >= quality.CUT]
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
