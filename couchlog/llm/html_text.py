@@ -3,18 +3,20 @@
 Each block of text gives points for its length and its commas to the elements above it, the nearer
 the more; an element's points are discounted by the share of its text that is in links. The element
 with most points, or the article around it, or the articles in it that hold most of its text, is the
-container. It is kept with those siblings that
-have a fair share of its points or are plain paragraphs. Menus, footers, asides, scripts, styles and
+container. It is kept with those siblings that have a fair share of its points or are plain paragraphs, all that
+stands between them, and the headings, paragraphs, lists, quotes, tables and sections that follow on
+either side; an article is kept alone, or with other articles. Menus, footers, asides, scripts, styles and
 input fields take no part and are cut out wherever they are.
 
 Forms, fieldsets and elements whose class, id or role has a word for a part beside the article are
 doubtful. They are judged when the page is read, outermost first, by their text outside links, and
 stay if they hold a longer article than there is outside of them, or most of the text (of the page, or
 of the article around them) alone or with those of the same word; of words that content has too
-(`OFTEN_CONTENT`), also if they hold much text of its own. With mostly links or fields they go.
+(`OFTEN_CONTENT`), also if they hold much text of its own. With mostly links or fields they go. What readers
+wrote, and teasers (`NOT_THE_PAGE`), articles among them, stay only if there is no other text to speak of.
 
 Defined cases: a null or empty page, and one without any text, gives ''; rows are independent, so
-null ids, repeated rows and other columns play no part; broken markup is read leniently: a block
+null ids, repeated rows and other columns play no part; a very long page is read whole; broken markup is read leniently: a block
 ends an open paragraph, an end tag without a start is ignored, all is closed at the end.
 """
 
@@ -51,6 +53,12 @@ BESIDE = frozenset(
 )
 # Words of those that names of content have as a part, too.
 OFTEN_CONTENT = frozenset("alert fieldset form notice notices related replies responses search share sharing social widget".split())
+# Words that name readers' comments and teasers of other pages, of articles too.
+NOT_THE_PAGE = frozenset(
+    "comment comments commentlist disqus related recommended replies reply respond responses teaser teasers promo promoted sponsored".split()
+)
+# Elements that belong to the text they stand next to.
+WITH_TEXT = frozenset("h1 h2 h3 h4 h5 h6 hgroup p ul ol dl blockquote pre table figure section address details".split())
 FIELDS = frozenset("input label button select textarea".split())
 # Characters and share of the text that are much; characters for each field that are few; share in links that is mostly links.
 MUCH, MUCH_SHARE, FIELD_CHARS, LINKS = 200, 0.2, 40, 0.5
@@ -76,13 +84,15 @@ def _dropped(tag: str, in_article: bool) -> bool:
 
 def _doubts(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> set[str]:
     """Words that make an element doubtful."""
-    if tag in ("header", "html", "body", "article", "main"):
+    if tag in ("header", "html", "body", "main"):
         return set()
     found = {tag} if tag in ("form", "fieldset") else set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
             words = {w.lower() for w in _WORDS.findall(value)}
-            found |= words & BESIDE
+            found |= words & (NOT_THE_PAGE if tag == "article" else BESIDE)
+            if tag == "article":
+                continue
             if "header" in words and not in_article:
                 found.add("header")
     return found
@@ -219,6 +229,9 @@ def _judge(root: _Node) -> None:
             for word in n.doubts if not few(n) else ():
                 together[id(place), word] = together.get((id(place), word), 0) + n.plain
         cut: dict[int, _Node] = {}
+        held: dict[int, int] = {}  # text of each place that no doubtful element holds
+        for place in around.values():
+            held[id(place)] = place.plain - sum(n.plain for n in outer if around[id(n)] is place) if id(place) not in held else held[id(place)]
         for n in outer:
             place = around[id(n)]
             in_article = place.tag in ("article", "main")
@@ -229,6 +242,8 @@ def _judge(root: _Node) -> None:
             if not keep and not few(n):
                 keep = most and (not rival or content and n.plain > rival)
                 keep = keep or content and n.plain >= MUCH and n.plain >= MUCH_SHARE * place.plain and (in_article or not rival)
+            if n.doubts & NOT_THE_PAGE:
+                keep = keep and held[id(place)] < MUCH and not (outside and not in_article)
             if keep:
                 scopes.append(n)
             else:
@@ -317,14 +332,42 @@ def main_text(html: str) -> str:
     best = _container(tree.root)
     if best.tag in ("#root", "html", "body") or best.parent is None:
         kept = [best]
+        body = next((n for n in _children(best) if n.tag == "body"), best)
+        links = {id(n) for n in _children(body) if n.tag in BLOCK and n.chars and n.linked >= LINKS * n.chars}
+        if links and body.linked < LINKS * body.chars:  # lists of links around the text
+            body.items = [x if id(x) not in links else _Node("hr", body) for x in body.items]
     else:
         least = max(10.0, 0.2 * _score(best))
         plain = lambda n: n.tag == "p" and n.chars > 80 and n.linked < 0.25 * n.chars
         beside = [n for n in best.parent.items if isinstance(n, _Node)]
         kept = [n for n in beside if n is best or n.tag == best.tag == "article" or _score(n) >= least or plain(n)]
+        if best.tag not in ("article", "main"):
+            kept = _with_neighbours([n for n in beside if n.chars], kept)
     return " ".join(block for node in kept for _, block, _ in _blocks(node))
 
 
+def _children(node: _Node) -> Iterator[_Node]:
+    """The elements in a node, and in the `html` element in it."""
+    for item in node.items:
+        if isinstance(item, _Node):
+            yield item
+            if item.tag == "html":
+                yield from (x for x in item.items if isinstance(x, _Node))
+
+
+def _with_neighbours(beside: list[_Node], kept: list[_Node]) -> list[_Node]:
+    """The kept siblings, those between them, and text elements that go on from them; none that is mostly links."""
+    wanted = {id(n) for n in kept}
+    places = [k for k, n in enumerate(beside) if id(n) in wanted]
+    first, last = min(places), max(places)
+    text = lambda n: n.linked < LINKS * n.chars
+    while first > 0 and beside[first - 1].tag in WITH_TEXT and text(beside[first - 1]):
+        first -= 1
+    while last + 1 < len(beside) and beside[last + 1].tag in WITH_TEXT and text(beside[last + 1]):
+        last += 1
+    return [n for n in beside[first : last + 1] if id(n) in wanted or text(n)]
+
+
 def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """All rows and columns of `pages` but the html, with `text` (a column of that name is replaced)."""
     rest = [c for c in pages.columns if c not in (html_col, "text")]

@@ -255,6 +255,43 @@ def test_doubtful_elements_with_the_main_text_stay():
     assert html_text.main_text(f"<article>{page}<div class='related'><article><a href='x'>other</a></article></div></article>") == whole
 
 
+@pytest.mark.parametrize("container", ["div", "section"])
+def test_text_beside_the_best_container_stays(container):
+    words = " ".join(["plain words of the page, and more of them"] * 12)
+    post = f"<{container}><p>{words} one</p><p>{words} two</p></{container}>"
+    whole = f"{words} one {words} two"
+    nav = '<nav><a href="/">Home</a></nav><ul><li><a href="/x">Other</a><li><a href="/y">More</a></ul>'
+    foot = '<div><a href="/z">Next page</a></div><footer>foot</footer>'
+    page = lambda before, after: html_text.main_text(f"<body>{nav}{before}{post}{after}{foot}</body>")
+    assert page("<h1>Title</h1>", "") == f"Title {whole}"
+    assert page("<h1>Title</h1><p>Lead.</p>", "<p>Short end.</p>") == f"Title Lead. {whole} Short end."
+    assert page("", "<section><h2>Second</h2><p>Short, too.</p></section>") == f"{whole} Second Short, too."
+    for tag, inner in (("ul", "<li>a<li>b"), ("blockquote", "a b"), ("pre", "a b"), ("table", "<tr><td>a<td>b"), ("ol", "<li>a<li>b")):
+        assert page("", f"<{tag}>{inner}</{tag}>") == f"{whole} a b", tag
+        assert page(f"<{tag}>{inner}</{tag}>", "") == f"a b {whole}", tag
+    assert page("", f"<ul><li>between</ul>{post}") == f"{whole} between {whole}"
+    assert page("", "<div class='ad'>Buy</div><p>End.</p>") == f"{whole} End."
+
+
+def test_comments_and_teasers_go():
+    words = " ".join(["plain words of the page, and more of them"] * 12)
+    post = f"<article><h1>Title</h1><p>{words}</p></article>"
+    comment = f"<p>{words} said a reader, {words}</p>"
+    whole = f"Title {words}"
+    for beside in (
+        f'<article class="comment">{comment}</article>', f'<section class="comments"><article>{comment}</article></section>',
+        f'<article class="related"><p>{words}</p></article>', f'<article class="post-teaser"><p>{words}</p></article>',
+        f'<div id="comments">{comment}{comment}</div>', f'<ol class="commentlist"><li>{comment}</ol>',
+    ):
+        assert html_text.main_text(f"<body>{post}{beside}</body>") == whole, beside
+        assert html_text.main_text(f"<body>{beside}{post}</body>") == whole, beside
+        assert html_text.main_text(f"<main>{post}{beside}</main>") == whole, beside
+        plain = f"<div><p>{words} one</p><p>{words} two</p></div>"
+        assert html_text.main_text(f"<body>{plain}{beside}</body>") == f"{words} one {words} two", beside
+    assert html_text.main_text(f'<body><article class="post has-comments"><p>{words}</p></article></body>') == words
+    assert html_text.main_text(f'<body><article class="comment"><p>{words}</p></article></body>') == words
+
+
 def test_pages(spark, tmp_path):
     pages = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<article><p>x</article>")]
     found = QUERIES["op5_html_text"](spark, write(spark, tmp_path, pages=pages)).collect()
@@ -298,6 +335,26 @@ def test_quality_on_held_out_rows(spark, tmp_path):
     assert all(len(s) == 1 for t, s in by_text.items() if t)
 
 
+def test_one_model_whatever_the_order(spark, monkeypatch):
+    """Conflicting labels are not learnt, and repeated ids are learnt once."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["the", "of", "house", "!!", "A1"]) for _ in range(rng.randint(3, 40))) + ("" if i % 2 else "!!")) for i in range(80)]
+    rows += [(7, "another text of this id"), (8, None), *rows[:20]] + [(9, f"text {k}") for k in range(300)]
+    labels = [(i, i % 2, 0) for i in range(80)] + [(i, 1 - i % 2, 0) for i in range(20, 30)] + [(None, 1, 0), (3, 1, 1), (4, None, 0), (500, 1, 0)]
+    seen, models = [], []
+    monkeypatch.setattr(quality, "fit", lambda good, poor, fit=quality.fit: seen.append((len(good), len(poor))) or fit(good, poor))
+    for parts in (1, 4, 7):
+        rng.shuffle(rows)
+        rng.shuffle(labels)
+        docs = documents(spark, rows).repartition(parts)
+        known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").repartition(parts)
+        models.append([quality.train(docs, known), quality.train(docs, known, max_rows=10)])
+    for k in (0, 1):
+        assert len({(m[k].weights.tobytes(), m[k].center.tobytes(), m[k].threshold) for m in models}) == 1
+    learnt = [i for i in range(80) if not 20 <= i < 30 and zlib.crc32(str(i).encode()) % 4 != 2]
+    assert set(seen[::2]) == {(sum(i % 2 for i in learnt), sum(1 - i % 2 for i in learnt))} and set(seen[1::2]) == {(10, 10)}
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0)]])
 def test_quality_without_both_labels_rejects_nothing(spark, tmp_path, labels):
     found = QUERIES["op7_quality"](spark, write(spark, tmp_path, [(1, "a"), (2, "b"), (3, None)], labels=labels)).collect()
