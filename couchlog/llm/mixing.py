@@ -81,23 +81,27 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fract
     if Fraction(share) > most:
         raise ValueError("the share of all words cannot exceed the most copies of a document")
     numbered = _numbered(sources, weights)
-    cap = F.col("words") * most
+    # in decimals: words times the sum of all weights may leave bigint
+    cap = F.expr(f"CAST(words AS decimal(20,0)) * {most}BD")
+
+    def is_capped(level: Fraction) -> Column:
+        return F.expr(f"CAST(words AS decimal(20,0)) * {most * level.denominator}BD <= CAST(weight AS decimal(10,0)) * {level.numerator}BD")
+
     total = numbered.agg(F.sum("words")).first()[0] or 0
     level, full = None, -1
     while True:  # the level is words per weight; sources at their cap stay there as it rises
-        capped = F.lit(False) if level is None else cap * level.denominator <= F.col("weight") * level.numerator
+        capped = F.lit(False) if level is None else is_capped(level)
         row = numbered.agg(
             F.count_if(capped), F.sum(F.when(capped, cap).otherwise(0)), F.sum(F.when(capped, 0).otherwise(F.col("weight")))
         ).first()
         if row[0] == full or not row[2]:
             break
         full = row[0]
-        level = (Fraction(share) * total - row[1]) / row[2]
+        level = (Fraction(share) * total - int(row[1])) / row[2]
     if level is None:
         return numbered.withColumn("target", F.lit(0.0))
     wanted = F.col("weight").cast("double") * F.lit(level.numerator / level.denominator)
-    capped = cap * level.denominator <= F.col("weight") * level.numerator
-    return numbered.withColumn("target", F.when(capped, cap.cast("double")).otherwise(wanted))
+    return numbered.withColumn("target", F.when(is_capped(level), cap.cast("double")).otherwise(wanted))
 
 
 # --- rounding -------------------------------------------------------------------------------------
