@@ -116,6 +116,70 @@ def test_edited_copies_leak_however_many_there_are(spark):
     assert (found[0, 0].first_word, found[0, 0].end_word) == (4, 43) and found[190, 1].score == found[290, 2].score == 1
 
 
+def spoilt(rng, words, edits):
+    """`edits` random words replaced, dropped or added."""
+    words = list(words)
+    for _ in range(edits):
+        k = rng.randrange(len(words))
+        kind = rng.choice("rda")
+        words[k : k + (kind != "a")] = [] if kind == "d" and len(words) > 1 else [f"n{rng.random()}"]
+    return words
+
+
+def test_recall_against_the_alignment_of_all_pairs(spark):
+    rng = random.Random(6)
+    common = [f"c{k}" for k in range(400)]
+    lengths = [1, 2, 3, *range(4, 31, 2), 40, 60, 90, 120, 200]
+    items = [[rng.choice([f"i{k}x{j}", rng.choice(common)]) if n > 3 else f"i{k}x{j}" for j in range(n)] for k, n in enumerate(lengths)]
+    around = lambda: [rng.choice(common) for _ in range(rng.randint(0, 30))]
+    rows, share = [], {}
+    for k, item in enumerate(items):
+        for percent in (0, 10, 20, 30) * 3:
+            edits = round(percent * len(item) / 100)
+            share[len(rows)] = percent if edits else 0
+            rows.append((len(rows), " ".join(around() + spoilt(rng, item, edits) + around())))
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id bigint, text string")
+    found = {(r.id, r.item) for r in decontamination.leaks(documents(spark, rows), bench).collect()}
+    number = {}
+    coded = lambda words: np.array([number.setdefault(w, len(number)) for w in words])
+    hits = {percent: [0, 0] for percent in (0, 10, 20, 30)}
+    every = set()
+    for i, text in rows:
+        for k, item in enumerate(items):
+            words = coded(text.split())
+            if len(words) and decontamination.align(coded(item), words)[0] / len(item) >= decontamination.LEAST_SCORE:
+                every.add((i, k))
+                hits[share[i]][0] += (i, k) in found
+                hits[share[i]][1] += 1
+    print({percent: (a, b, round(a / b, 3)) for percent, (a, b) in hits.items()})
+    assert found <= every and all(b >= 20 and a / b >= 0.9 for a, b in hits.values())
+    short = {(i, k) for i, k in every if len(items[k]) >= 8}
+    assert len(short & found) >= 0.99 * len(short)
+
+
+def test_every_fourth_word_replaced_and_short_items(spark):
+    item = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(w if k % 4 else f"new{k}" for k, w in enumerate(item))), (2, "x tiny secret item y"), (3, "x tiny secret y"), (4, "one y")]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "tiny secret item"), (3, "one"), (4, "y x")], "item_id bigint, text string")
+    found = {(r.id, r.item): r.score for r in decontamination.leaks(documents(spark, rows), bench).collect()}
+    assert found.keys() == {(1, 1), (2, 2), (4, 3)} and found[1, 1] > 0.5 and found[2, 2] == found[4, 3] == 1
+
+
+def test_a_very_long_item_does_not_widen_the_passages_of_others(spark):
+    rng = random.Random(7)
+    phrase = "it is said that all".split()
+    long_item = [f"l{k}" for k in range(20_000)] + phrase
+    short = [f"s{k}" for k in range(30)]
+    text = [f"t{rng.random()}" for _ in range(20_000)]
+    rows = [(1, " ".join(text[:10_000] + short + text[10_000:])), (2, " ".join(text + long_item[5000:18_000]))]
+    rows += [(10 + k, " ".join([f"u{k}x{j}" for j in range(40)] + phrase)) for k in range(40)]
+    bench = spark.createDataFrame([(1, " ".join(long_item)), (2, " ".join(short))], "item_id bigint, text string")
+    found = {(r.id, r.item): r for r in decontamination.leaks(documents(spark, rows), bench).collect()}
+    assert found.keys() == {(1, 2), (2, 1)}
+    assert (found[1, 2].first_word, found[1, 2].end_word) == (10_000, 10_030)
+    assert (found[2, 1].first_word, found[2, 1].end_word) == (20_000, 33_000)
+
+
 def test_words_in_common_bound_the_alignment():
     rng = np.random.default_rng(1)
     for _ in range(200):
