@@ -1,15 +1,20 @@
 """Secret scan: fixed patterns, plus strings that are new to a compressor primed with their surroundings.
 
-A candidate is a run of at least `MIN_LENGTH` token characters with a word of a sensitive context
-within `NEAR` characters on either side, line breaks included (a word that is part of the run itself
+A candidate is a run of at least `min_length` token characters with a word of a sensitive context
+within `near` characters on either side, line breaks included (a word that is part of the run itself
 does not count); runs joined by dots, such as the parts of a JWT, share their context, and all runs of
-a PEM block whose label has such a word are candidates. Every candidate is measured. Its novelty is its marginal compressed size: the zstandard frame of the surroundings and
-the candidate, less the frame of the surroundings, both primed with a dictionary of identifiers.
-Names and words shrink to a few bytes; keys and hashes do not. A candidate whose novelty per
-character reaches `MIN_NOVELTY` is reported as kind `novel`, unless a base span covers it.
-
-Defined cases: a null or empty text has no span; rows are independent, so null ids, repeated rows
-and other columns play no part; positions count code points, the end is exclusive.
+a PEM block whose label has such a word are candidates. Every candidate is measured. Its novelty is
+its marginal compressed size: the zstandard frame of the surroundings and the candidate, less the
+frame of the surroundings, both primed with a dictionary of identifiers and of parts of words. How
+far letters as such shrink depends on the surroundings, so the novelty is held against that of the
+same characters shuffled: names and words lose what makes them known, keys and hashes have nothing to
+lose. A candidate of at least `min_size` bytes a character that reaches `min_novelty` of its shuffled
+form is reported as kind `novel`, unless a base span covers it. `Context` holds all of these settings.
+
+Defined cases: a null or empty text has no span; a very long text is read whole, in time proportional
+to its length; rows are independent, so null ids and repeated rows play no part; other columns are
+kept, one that has the name of the result (in any case) is replaced; positions count code points, the
+end is exclusive; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -18,6 +23,9 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cache
+from random import Random
 
 import pyarrow as pa
 import zstandard
@@ -35,11 +43,6 @@ BASE = {
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = [*BASE, "novel"]
 
-MIN_LENGTH = 16
-MIN_NOVELTY = 0.6
-AROUND = 256
-NEAR = 48
-
 # Names that code and configuration are made of; the compressor knows them beforehand.
 IDENTIFIERS = """
 password passwd secret token api_key apikey access_key secret_key client_id client_secret private_key
@@ -52,17 +55,55 @@ abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcde
 aaaaaaaaaaaaaaaa xxxxxxxxxxxxxxxx 0000000000000000 ----------------
 """
 
+# Endings, beginnings and stems that long words and names are made of.
+WORD_PARTS = """
+able ible ally ance ence ated ation ational ative ator ers est ful fulness ical ify ings ions ious ise ism istic
+ities ity ive ization ize less lessness ments ness ology ography ous ship tions ture ward wise
+anti auto com con contra counter dis extra hyper inter macro micro mis multi non over para photo post pre pro
+pseudo semi sub super tele thermo trans ultra under uni
+act count cover develop duct electro fact form graph ground hand head hold know light line manage mark meter nation
+normal object open order part place play port press quest record refer report respons scribe serv sign spect stand
+struct tain tend tract turn vent verse view work write
+"""
+
+# Words that make a context sensitive.
+SENSITIVE = (
+    r"(?i:passw|passphrase|(?<![a-z])pass(?![a-z])|pwd|secret|token|(?:api|access)_?key|credential|private|bearer"
+    r"|auth(?!ors?(?![a-z]))|signature|cookie|session)"
+)
+
+
+@dataclass(frozen=True)
+class Context:
+    """What is measured, and against what."""
+
+    words: str = SENSITIVE  # a regular expression
+    near: int = 48
+    min_length: int = 16
+    min_size: float = 0.5  # compressed bytes a character: less is a repeated or known string
+    min_novelty: float = 0.92  # of the same characters shuffled: random keys have 0.95 to 1
+    around: int = 256
+    identifiers: str = IDENTIFIERS + WORD_PARTS
+
+
+DEFAULT = Context()
+
 _PATTERNS = {kind: re.compile(p, re.ASCII) for kind, p in BASE.items()}
 # 32 lower-case hex digits in a row: a cheap test before every match of the open pattern is looked at.
 _HEX = re.compile(r"[0-9a-f]{32,}", re.ASCII)
-_SENSITIVE = re.compile(r"(?i:passw|passphrase|secret|token|api_?key|credential|private|bearer|auth)", re.ASCII)
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH, re.ASCII)
-_DOTTED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)+", re.ASCII)
+_DOTTED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]+={0,2}(?:\.[A-Za-z0-9+/_-]+={0,2})+", re.ASCII)
 _PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----", re.ASCII)
+_PEM_END = re.compile(r"-----END ([A-Z0-9 ]+)-----", re.ASCII)
 # Where the end line is missing: the first character that no line of a block has.
 _PEM_OVER = re.compile(r"-----END |[^A-Za-z0-9+/=\s\\:,.\"'-]", re.ASCII)
 
 
+@cache
+def _patterns(words: str, min_length: int) -> tuple[re.Pattern, re.Pattern]:
+    run = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % min_length
+    return re.compile(words, re.ASCII), re.compile(run, re.ASCII)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """Leftmost non-overlapping matches of each kind that are long enough."""
     spans = []
@@ -79,7 +120,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 class Novelty:
     """Marginal compressed bytes under a dictionary of identifiers."""
 
-    def __init__(self, identifiers: str = IDENTIFIERS):
+    def __init__(self, identifiers: str = DEFAULT.identifiers):
         primed = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self._compressor = zstandard.ZstdCompressor(level=9, dict_data=primed, write_checksum=False, write_content_size=False)
 
@@ -88,31 +129,45 @@ class Novelty:
         size = len(self._compressor.compress(known + candidate.encode(errors="surrogatepass")))
         return size - len(self._compressor.compress(known))
 
+    def is_new(self, candidate: str, around: str, context: Context = DEFAULT) -> bool:
+        size = self(candidate, around)
+        if size < context.min_size * len(candidate):
+            return False
+        shuffled = "".join(Random(len(candidate)).sample(candidate, len(candidate)))
+        return size >= context.min_novelty * self(shuffled, around)
+
 
-def _pem_blocks(text: str) -> list[tuple[int, int]]:
+def _pem_blocks(text: str, sensitive: re.Pattern) -> list[tuple[int, int]]:
     """From begin line to end line, of blocks with a sensitive word in their label."""
+    ends: dict[str, list[int]] = {}
+    for m in _PEM_END.finditer(text):
+        ends.setdefault(m[1], []).append(m.start())
     blocks, at = [], 0
     while m := _PEM_BEGIN.search(text, at):
-        end = text.find(f"-----END {m[1]}-----", m.end())
-        if end < 0:
+        own = ends.get(m[1], [])
+        k = bisect_left(own, m.end())
+        if k < len(own):
+            end = own[k]
+        else:
             over = _PEM_OVER.search(text, m.end())
             end = over.start() if over else len(text)
         at = max(m.end(), end)
-        if _SENSITIVE.search(m[1]):
+        if sensitive.search(m[1]):
             blocks.append((m.start(), at))
     return blocks
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
+def candidates(text: str, context: Context = DEFAULT) -> Iterator[tuple[int, int]]:
     """Runs of token characters in a sensitive context, in order."""
-    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    sensitive, run = _patterns(context.words, context.min_length)
+    words = [m.span() for m in sensitive.finditer(text)]
     if not words:
         return
-    starts = [s for s, _ in words]
+    starts, near = [s for s, _ in words], context.near
     dotted = [m.span() for m in _DOTTED.finditer(text)]
-    blocks = _pem_blocks(text) if "-----BEGIN " in text else []
+    blocks = _pem_blocks(text, sensitive) if "-----BEGIN " in text else []
     i = j = 0
-    for m in _RUN.finditer(text):
+    for m in run.finditer(text):
         start, end = low, high = m.span()
         while i < len(dotted) and dotted[i][1] <= start:
             i += 1
@@ -121,24 +176,24 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
         while j < len(blocks) and blocks[j][1] <= start:
             j += 1
         before, after = bisect_left(starts, start) - 1, bisect_left(starts, end)
-        near = before >= 0 and words[before][1] >= low - NEAR or after < len(words) and starts[after] <= high + NEAR
-        if near or (j < len(blocks) and blocks[j][0] <= start):
+        close = before >= 0 and words[before][1] >= low - near or after < len(words) and starts[after] <= high + near
+        if close or (j < len(blocks) and blocks[j][0] <= start):
             yield start, end
 
 
-def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, least: float) -> list[tuple[int, int, str]]:
+def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, context: Context = DEFAULT) -> list[tuple[int, int, str]]:
     """Incompressible strings in a sensitive context that no base span covers."""
     spans = []
     base = sorted(base)
     k = covered = 0
-    for start, end in candidates(text):
+    for start, end in candidates(text, context):
         while k < len(base) and base[k][0] <= start:
             covered = max(covered, base[k][1])
             k += 1
         if end <= covered:
             continue
-        around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
-        if novelty(text[start:end], around) >= least * (end - start):
+        around = text[max(0, start - context.around) : start] + " " + text[end : end + context.around]
+        if novelty.is_new(text[start:end], around, context):
             spans.append((start, end, "novel"))
     return spans
 
@@ -148,26 +203,26 @@ def listed(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1])))
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", min_novelty: float = MIN_NOVELTY) -> DataFrame:
-    """All rows and columns of `docs`, plus `secrets`: an array of (kind, start, end)."""
+def scan_secrets(docs: DataFrame, text_col: str = "text", context: Context = DEFAULT, into: str = "secrets") -> DataFrame:
+    """All rows and columns of `docs`, plus `into`: an array of (kind, start, end)."""
     spans_type = "array<struct<kind: string, start: int, end: int>>"
-    out = docs.drop("secrets")
+    out = docs.drop(into)
     names = out.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        novelty = Novelty()
+        novelty = Novelty(context.identifiers)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             found = []
             for text in batch.column(names.index(text_col)):
                 text = text.as_py() or ""
                 base = base_spans(text)
-                spans = sorted(base + novel_spans(text, base, novelty, min_novelty), key=lambda x: (x[0], KINDS.index(x[2])))
+                spans = sorted(base + novel_spans(text, base, novelty, context), key=lambda x: (x[0], KINDS.index(x[2])))
                 found.append([{"kind": k, "start": s, "end": e} for s, e, k in spans])
-            yield pa.record_batch([*batch.columns, pa.array(found, kind)], [*names, "secrets"])
+            yield pa.record_batch([*batch.columns, pa.array(found, kind)], [*names, into])
 
-    return out.mapInArrow(scan, schema(f"{fields}, secrets {spans_type}"))
+    return out.mapInArrow(scan, schema(f"{fields}, `{into}` {spans_type}"))
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
