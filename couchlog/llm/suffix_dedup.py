@@ -17,7 +17,8 @@ is removed. Four steps, in which only bits come back to the texts:
 
 A string that a large part of all documents hold is sent at most once per block and step. Suffixes
 with the same gram but different surroundings meet in one task; grams found in more than
-`HOT_BLOCKS` blocks are sent window by window instead, which spreads them.
+`HOT_BLOCKS` blocks are sent window by window instead, which spreads them. What blocks send and
+what comes back takes the ways of `exchange`, so its rows grow with the bytes.
 
 Defined cases: a null or empty text is 0 bytes; texts shorter than a window stay; a null id sorts
 after all others; rows with equal id never remove from each other; every row gives a result; other
@@ -33,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couchlog.llm.blocks import BLOCK_BYTES, Block, Blocks, minimizers, squeeze, unsqueeze
+from couchlog.llm.blocks import BLOCK_BYTES, Block, Blocks, minimizers
 from couchlog.llm.common import documents, id_back, inputs, stage
+from couchlog.llm.exchange import FAN, ROWS, Exchange, flat, unflat
 from couchlog.llm.words import _BYTE, mix, rolling
 
 WINDOW = 50
@@ -43,8 +45,6 @@ SIDE = WINDOW - GRAM
 HOT_BLOCKS = 4096
 PART_BYTES = 16 << 20
 _PIECE = 1 << 20
-_RUNS = "part int, block bigint, run binary"
-_REPLIES = "block bigint, part int, bits binary"
 _BIT = [np.uint32(1 << k) for k in range(SIDE + 1)]
 
 
@@ -94,35 +94,16 @@ def _parts(hashes: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]]).astype(np.int64)
 
 
-def _send(block: int, bounds: np.ndarray, pack) -> Iterator[pa.RecordBatch]:
-    """One row (part, block, run) for each part that gets any."""
-    rows = [(p, pack(s, e)) for p, (s, e) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())) if e > s]
-    if rows:
-        part, run = zip(*rows)
-        columns = [pa.array(part, pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array(run, pa.binary())]
-        yield pa.record_batch(columns, ["part", "block", "run"])
-
-
-def _replies(table: pa.Table, bits: list[bytes]) -> pa.Table:
-    return pa.table({"block": table["block"], "part": table["part"], "bits": pa.array(bits, pa.binary())})
-
-
-def _answers(reply: pa.Scalar | None, bounds: np.ndarray, layers: int) -> np.ndarray:
+def _answers(ways: Exchange, reply: pa.Scalar | None, bounds: np.ndarray, layers: int) -> np.ndarray:
     """The bits of all parts in the order of what was sent, one row per layer."""
     out = np.zeros((layers, int(bounds[-1])), bool)
-    for x in [] if reply is None else reply.values.to_pylist():
-        s, e = bounds[x["part"]], bounds[x["part"] + 1]
-        bits = np.frombuffer(x["bits"], np.uint8).reshape(layers, -1)
+    for part, answer in ways.received(reply):
+        s, e = bounds[part], bounds[part + 1]
+        bits = np.frombuffer(answer, np.uint8).reshape(layers, -1)
         out[:, s:e] = np.unpackbits(bits, axis=1)[:, : e - s]
     return out
 
 
-def _collected(replies: DataFrame) -> DataFrame:
-    """One row per block: what the parts answered."""
-    answers = F.sort_array(F.collect_list(F.struct("part", "bits")))
-    return stage(replies.groupBy("block").agg(answers.alias("reply")))
-
-
 def _deltas(x: np.ndarray) -> np.ndarray:
     """Differences of sorted values by byte plane, so that their leading zeros compress."""
     return np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.ravel()
@@ -135,10 +116,10 @@ def _sums(planes: np.ndarray) -> np.ndarray:
 # --- steps 1 and 2: grams and contexts that occur elsewhere ------------------------------------------
 
 
-def _send_grams(parts: int):
+def _send_grams(ways: Exchange):
     def send(number: int, block: Block) -> Iterator[pa.RecordBatch]:
         gram = _Grams(block).gram
-        yield from _send(number, _parts(gram, parts), lambda s, e: squeeze(_deltas(gram[s:e])))
+        yield from ways.send(number, _parts(gram, ways.parts), lambda s, e: flat(_deltas(gram[s:e])))
 
     return send
 
@@ -146,11 +127,11 @@ def _send_grams(parts: int):
 def _answer_grams(hot_blocks: int):
     """Per gram: whether another block has it; whether more than `hot_blocks` have it."""
 
-    def answer(table: pa.Table) -> pa.Table:
-        runs = [_sums(*unsqueeze(r.as_py(), "u1")) for r in table["run"]]
+    def answer(sent: list[bytes]) -> list[bytes]:
+        runs = [_sums(*unflat(r, "u1")) for r in sent]
         every, count = np.unique(np.concatenate(runs), return_counts=True)
         counts = [count[np.searchsorted(every, run)] for run in runs]
-        return _replies(table, [np.packbits(np.stack([c > 1, c > hot_blocks]), axis=1).tobytes() for c in counts])
+        return [np.packbits(np.stack([c > 1, c > hot_blocks]), axis=1).tobytes() for c in counts]
 
     return answer
 
@@ -166,9 +147,9 @@ class _Contexts:
     not reach. A class is a (gram, context); the block speaks for it with its smallest id.
     """
 
-    def __init__(self, block: Block, parts: int, reply: pa.Scalar | None):
+    def __init__(self, block: Block, ways: Exchange, reply: pa.Scalar | None):
         grams = _Grams(block)
-        elsewhere, hot = _answers(reply, _parts(grams.gram, parts), 2)
+        elsewhere, hot = _answers(ways, reply, _parts(grams.gram, ways.parts), 2)
         live = (elsewhere | grams.shared)[grams.which]
         self.at, self.ids = grams.at[live], grams.ids[live]
         gram, self.hot = grams.gram[grams.which[live]], hot[grams.which[live]]
@@ -196,18 +177,18 @@ class _Contexts:
         self.cls[order] = np.cumsum(begins) - 1
 
 
-def _send_contexts(parts: int):
+def _send_contexts(ways: Exchange):
     def send(number: int, block: Block, reply: pa.Scalar | None) -> Iterator[pa.RecordBatch]:
-        x = _Contexts(block, parts, reply)
-        pack = lambda s, e: squeeze(_deltas(x.gram[s:e]), x.context[s:e], x.class_id[s:e])
-        yield from _send(number, _parts(x.gram, parts), pack)
+        x = _Contexts(block, ways, reply)
+        pack = lambda s, e: flat(_deltas(x.gram[s:e]), x.context[s:e], x.class_id[s:e])
+        yield from ways.send(number, _parts(x.gram, ways.parts), pack)
 
     return send
 
 
-def _answer_contexts(table: pa.Table) -> pa.Table:
+def _answer_contexts(sent: list[bytes]) -> list[bytes]:
     """Per class: whether a smaller document has it; whether it is the first of one of several contexts of its gram."""
-    runs = [unsqueeze(r.as_py(), "u1", "<u8", "<i8") for r in table["run"]]
+    runs = [unflat(r, "u1", "<u8", "<i8") for r in sent]
     gram, context, ids = (np.concatenate(x) for x in zip(*[(_sums(g), c, i) for g, c, i in runs]))
     order = np.lexsort((ids, context, gram))
     g, c, i = gram[order], context[order], ids[order]
@@ -221,7 +202,7 @@ def _answer_contexts(table: pa.Table) -> pa.Table:
     contested[order] = (i == first_id) & (classes > 1)
     cuts = np.cumsum([len(r[1]) for r in runs])[:-1]
     answers = zip(np.split(covered, cuts), np.split(contested, cuts))
-    return _replies(table, [np.packbits(np.stack(x), axis=1).tobytes() for x in answers])
+    return [np.packbits(np.stack(x), axis=1).tobytes() for x in answers]
 
 
 # --- step 3: runs of suffixes, merged ---------------------------------------------------------------
@@ -269,25 +250,24 @@ class _Suffixes:
         shared = np.concatenate([[0], np.where(differ.any(1), differ.argmax(1), WINDOW)]).astype(np.uint8)
         rest = text[np.arange(WINDOW) >= shared[:, None]]
         small = (self.left[s:e].ravel(), self.la[s:e].astype(np.uint8), self.ra[s:e].astype(np.uint8), self.ids[s:e])
-        return squeeze(shared, rest, *small)
+        return flat(shared, rest, *small)
 
-    def masks(self, reply: pa.Scalar | None) -> tuple[np.ndarray, np.ndarray]:
+    def masks(self, ways: Exchange, reply: pa.Scalar | None) -> tuple[np.ndarray, np.ndarray]:
         """The merge's answers, per contested class and per distinct window of hot grams."""
         found = np.zeros(len(self.order), np.uint32)
-        for x in [] if reply is None else reply.values.to_pylist():
-            s, e = self.bounds[x["part"]], self.bounds[x["part"] + 1]
-            found[s:e] = np.frombuffer(x["bits"], "<u4")
+        for part, bits in ways.received(reply):
+            found[self.bounds[part] : self.bounds[part + 1]] = np.frombuffer(bits, "<u4")
         out = np.zeros(len(self.order), np.uint32)
         out[self.order] = found
         return out[: len(self.classes)], out[len(self.classes) :]
 
 
-def _send_suffixes(parts: int):
+def _send_suffixes(ways: Exchange):
     def send(number: int, block: Block, reply1: pa.Scalar | None, reply2: pa.Scalar | None) -> Iterator[pa.RecordBatch]:
-        x = _Contexts(block, parts, reply1)
-        _, contested = _answers(reply2, _parts(x.gram, parts), 2)
-        y = _Suffixes(x, block, contested, parts)
-        yield from _send(number, y.bounds, y.front_coded)
+        x = _Contexts(block, ways, reply1)
+        _, contested = _answers(ways, reply2, _parts(x.gram, ways.parts), 2)
+        y = _Suffixes(x, block, contested, ways.parts)
+        yield from ways.send(number, y.bounds, y.front_coded)
 
     return send
 
@@ -365,9 +345,9 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], li
     return taken, common
 
 
-def _answer_suffixes(table: pa.Table) -> pa.Table:
+def _answer_suffixes(sent: list[bytes]) -> list[bytes]:
     """Per suffix a bit for each offset: whether the window that begins so far before it starts in a smaller document."""
-    packed = [unsqueeze(r.as_py(), "u1", "u1", "u1", "u1", "u1", "<i8") for r in table["run"]]
+    packed = [unflat(r, "u1", "u1", "u1", "u1", "u1", "<i8") for r in sent]
     runs = [(_decoded(shared, rest), shared.tolist()) for shared, rest, *_ in packed]
     taken, common = merge_runs(runs)
     del runs
@@ -393,8 +373,8 @@ def _answer_suffixes(table: pa.Table) -> pa.Table:
         mask[sort[ids[sort] > first]] |= _BIT[back]
         if back < SIDE:
             before = mix(before * np.uint64(0x9FB21C651E98DF25) + _TABLE[left[:, SIDE - 1 - back]])
-    flat = mask[merged_of].astype("<u4")
-    return _replies(table, [flat[b : b + n].tobytes() for b, n in zip(base.tolist(), sizes.tolist())])
+    answer = mask[merged_of].astype("<u4")
+    return [answer[b : b + n].tobytes() for b, n in zip(base.tolist(), sizes.tolist())]
 
 
 # --- step 4: the cut ---------------------------------------------------------------------------------
@@ -403,12 +383,12 @@ _CUT = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _cut(parts: int):
+def _cut(ways: Exchange):
     def cut(number: int, block: Block, *replies: pa.Scalar | None) -> Iterator[pa.RecordBatch]:
-        x = _Contexts(block, parts, replies[0])
-        covered, contested = _answers(replies[1], _parts(x.gram, parts), 2)
-        y = _Suffixes(x, block, contested, parts)
-        class_mask, window_mask = y.masks(replies[2])
+        x = _Contexts(block, ways, replies[0])
+        covered, contested = _answers(ways, replies[1], _parts(x.gram, ways.parts), 2)
+        y = _Suffixes(x, block, contested, ways.parts)
+        class_mask, window_mask = y.masks(ways, replies[2])
         change = np.zeros(len(block.data) + 1, np.int32)
         cold = np.flatnonzero(x.cls >= 0)
         cls = x.cls[cold]
@@ -450,18 +430,19 @@ def _kept(block: Block, removed: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeated_bytes(
-    docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES, hot_blocks: int = HOT_BLOCKS
+    docs: DataFrame,
+    block_bytes: int = BLOCK_BYTES,
+    part_bytes: int = PART_BYTES,
+    hot_blocks: int = HOT_BLOCKS,
+    fan: int = FAN,
 ) -> DataFrame:
     """Per document of `docs` (doc_id, text): id, n_bytes, n_removed, n_spans, the removed spans, and the kept bytes."""
     blocks = Blocks(inputs(docs), block_bytes)
-    parts = max(1, -(-blocks.bytes // part_bytes))
-    grams = blocks.map(_send_grams(parts), _RUNS)
-    known = _collected(grams.groupBy("part").applyInArrow(_answer_grams(hot_blocks), _REPLIES))
-    contexts = blocks.map_with([known], _send_contexts(parts), _RUNS)
-    decided = _collected(contexts.groupBy("part").applyInArrow(_answer_contexts, _REPLIES))
-    suffixes = blocks.map_with([known, decided], _send_suffixes(parts), _RUNS)
-    merged = _collected(suffixes.groupBy("part").applyInArrow(_answer_suffixes, _REPLIES))
-    return blocks.map_with([known, decided, merged], _cut(parts), _CUT)
+    ways = Exchange(-(-blocks.bytes // block_bytes), max(1, -(-blocks.bytes // part_bytes)), fan)
+    known = stage(ways.asked(blocks.map(_send_grams(ways), ROWS), _answer_grams(hot_blocks)))
+    decided = stage(ways.asked(blocks.map_with([known], _send_contexts(ways), ROWS), _answer_contexts))
+    merged = stage(ways.asked(blocks.map_with([known, decided], _send_suffixes(ways), ROWS), _answer_suffixes))
+    return blocks.map_with([known, decided, merged], _cut(ways), _CUT)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from couchlog.llm import components, line_dedup, minhash_dedup, substring_dedup, suffix_dedup
+from couchlog.llm import components, exchange, line_dedup, minhash_dedup, substring_dedup, suffix_dedup
 from tests.llm.tables import documents, odd_rows, write
 
 NO_ID = (1 << 63) - 1
@@ -161,6 +161,44 @@ def test_bytes(spark, rows, block_bytes, hot_blocks):
     same(found.collect(), brute_windows(rows, 50, lambda t: list(t.encode()), bytes))
 
 
+@pytest.mark.parametrize("fan", [2, 3])
+def test_bytes_over_several_hops(spark, rows, fan):
+    found = suffix_dedup.remove_repeated_bytes(documents(spark, rows), 20_000, 12_000, 2, fan)
+    found = found.select(F.when(F.col("id") != NO_ID, F.col("id")), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    same(found.collect(), brute_windows(rows, 50, lambda t: list(t.encode()), bytes))
+
+
+def test_every_hop_moves_rows_in_proportion_to_the_blocks(spark):
+    """With eight times the blocks and the parts, a hop has at most eight times the rows, and each run meets its part."""
+    fan = 4
+    for blocks, parts in [(16, 16), (128, 128), (5, 1), (1, 30)]:
+        ways = exchange.Exchange(blocks, parts, fan)
+        bounds = np.arange(parts + 1)
+
+        def ask(batches, ways=ways, bounds=bounds):
+            for batch in batches:
+                for block in batch.column(0).to_pylist():
+                    yield from ways.send(block, bounds, lambda s, e: f"{block}/{s}".encode() if (block + s) % 7 else b"")
+
+        def reply(sent):
+            assert len({x.split(b"/")[1] for x in sent}) == 1
+            return [b"answer to " + x for x in sent]
+
+        hop = spark.range(blocks).mapInArrow(ask, exchange.ROWS)
+        assert hop.count() <= fan * blocks
+        for k in range(1, ways.hops):
+            hop = ways.deal(hop, k)
+            assert hop.count() <= fan * (blocks + parts)
+        back = ways.answer(hop, reply)
+        for k in range(ways.hops - 1, 0, -1):
+            assert back.count() <= fan * (blocks + parts)
+            back = ways.gather(back, k)
+        assert back.count() <= fan * blocks
+        got = ways.asked(spark.range(blocks).mapInArrow(ask, exchange.ROWS), reply).toArrow()
+        told = {(b, part): bits for b, x in zip(got["cell"].to_pylist(), got["reply"]) for part, bits in ways.received(x)}
+        assert told == {(b, p): f"answer to {b}/{p}".encode() for b in range(blocks) for p in range(parts) if (b + p) % 7}
+
+
 def test_bytes_with_nul_and_runs(spark):
     rng = random.Random(4)
     pool = ["".join(rng.choice("ab é\0") for _ in range(rng.randint(30, 150))) for _ in range(6)]
