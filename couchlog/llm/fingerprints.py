@@ -14,6 +14,8 @@ the hash of their text; a single row is its own next document; an empty table gi
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -104,8 +106,35 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both_empty, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(corrected)
 
 
-def _blocks(rows: DataFrame, rows_per_block: int, max_blocks: int) -> tuple[list[int], int | None]:
-    """Ids that end a block (at most `max_blocks`), ascending, without the largest; the largest id."""
+def _later() -> Column:
+    """Place among rows of one id, ascending; the order of documents goes down by it."""
+    return F.bitwise_not(F.xxhash64("text"))
+
+
+def _above(ids: Column, places: Column, at: Column) -> Column:
+    """Whether a row comes behind the cut number `at`, by id and then place."""
+    cut = F.get(ids, at)
+    return (cut < F.col("id")) | ((cut == F.col("id")) & (F.get(places, at) < _later()))
+
+
+def _own(cuts: list[tuple[int, int]]) -> tuple[Column, Column, Column]:
+    """The block of a row (the number of cuts before it), and the cuts as columns."""
+    numbers = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>") if xs else F.array().cast("array<bigint>")
+    ids, places = numbers([i for i, _ in cuts]), numbers([p for _, p in cuts])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, len(cuts).bit_length())))])
+
+    def step(below: Column, s: Column) -> Column:
+        return F.when((below + s <= len(cuts)) & _above(ids, places, below + s - 1), below + s).otherwise(below)
+
+    return F.aggregate(steps, F.lit(0), step), ids, places
+
+
+def _blocks(rows: DataFrame, rows_per_block: int, max_blocks: int) -> tuple[list[tuple[int, int]], tuple[int | None, int]]:
+    """Where blocks end (at most `max_blocks`), ascending by id and place, and the last row of all.
+
+    A cut is the id and place of a row; the place `NO_ID` is behind all rows of that id. An id that
+    fills several blocks is cut evenly by place, at the last row that each of its blocks then has.
+    """
     n = rows.count()
     count = min(max_blocks, -(-n // rows_per_block))
     steps = [i / count for i in range(1, count)]
@@ -113,34 +142,43 @@ def _blocks(rows: DataFrame, rows_per_block: int, max_blocks: int) -> tuple[list
     if steps:
         asked.append(F.percentile_approx("id", steps, max(10_000, 10 * count)).alias("ends"))
     found = rows.agg(*asked).first()
-    ends = sorted({e for e in (found["ends"] if steps else []) if e != found["top"]})
-    return ends, found["top"]
+    top, times = found["top"], Counter(found["ends"] if steps else [])
+    cuts = [(i, NO_ID) for i in times if i != top]
+    hot = {i: m for i, m in times.items() if m > 1}
+    if not hot:
+        return sorted(cuts), (top, NO_ID)
+    even = [(i, (j << 64) // m - (1 << 63)) for i, m in hot.items() for j in range(1, m)]
+    number = _own(sorted({*cuts, *even, (top, NO_ID)}))[0]
+    held = rows.filter(F.col("id").isin(list(hot))).groupBy("id", number.alias("own")).agg(F.max(_later()).alias("place"))
+    ends = sorted((r["id"], r["place"]) for r in held.collect())
+    last = ends.pop() if top in hot else (top, NO_ID)
+    return sorted({*(c for c in cuts if c[0] not in hot), *ends}), last
 
 
 def with_next(rows: DataFrame, columns: list[str], rows_per_block: int = ROWS_PER_BLOCK, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """Add `next_<column>`: the value in the next row by descending id, after the last the first.
 
-    Rows are dealt to blocks of neighbouring ids. The row that heads a block is also sent to the end
-    of the block before it in this order, so that every row meets its successor after one shuffle.
+    Rows are dealt to blocks of neighbouring ids; an id with many rows is several blocks. The row that
+    heads a block is also sent to the end of the block before it in this order, so that every row
+    meets its successor after one shuffle.
     """
-    ends, top = _blocks(rows, rows_per_block, max_blocks)
-    bounds = F.split(F.lit(",".join(map(str, ends))), ",").cast("array<bigint>") if ends else F.array().cast("array<bigint>")
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, len(ends).bit_length())))])
+    cuts, last = _blocks(rows, rows_per_block, max_blocks)
+    own, ids, places = _own(cuts)
 
-    def step(below: Column, s: Column) -> Column:
-        on = (below + s <= len(ends)) & (F.get(bounds, below + s - 1) < F.col("id"))
-        return F.when(on, below + s).otherwise(below)
+    def is_row(i: Column, place: Column) -> Column:
+        return (i == F.col("id")) & ((place == NO_ID) | (place == _later()))
 
-    own = F.aggregate(steps, F.lit(0), step)
-    heads = F.when(F.col("id") == F.lit(top), F.lit(0)).when(F.get(bounds, F.col("_own")) == F.col("id"), F.col("_own") + 1)
-    places = F.filter(
+    heads = F.when(is_row(F.lit(last[0]), F.lit(last[1])), F.lit(0)).when(
+        is_row(F.get(ids, F.col("_own")), F.get(places, F.col("_own"))), F.col("_own") + 1
+    )
+    dealt_to = F.filter(
         F.array(
             F.struct(F.col("_own").alias("block"), F.lit(False).alias("guest")),
             F.struct(heads.alias("block"), F.lit(True).alias("guest")),
         ),
         lambda p: p["block"].isNotNull(),
     )
-    dealt = rows.withColumn("_own", own).withColumn("_place", F.explode(places))
+    dealt = rows.withColumn("_own", own).withColumn("_place", F.explode(dealt_to))
     order = Window.partitionBy("_block").orderBy("_guest", F.col("id").desc(), F.xxhash64("text"))
     dealt = dealt.withColumn("_block", F.col("_place.block")).withColumn("_guest", F.col("_place.guest")).drop("_place", "_own")
     for c in columns:

@@ -577,6 +577,21 @@ def test_next_and_edited_texts(spark, rows, rows_per_block, monkeypatch):
         assert found[i].edited == t[: len(t) - cut] + other[:cut]
 
 
+@pytest.mark.parametrize("hot", [None, 40, -3])
+def test_an_id_of_many_rows_is_several_blocks(spark, hot):
+    rows = [(k, f"text {k}") for k in range(60)] + [(hot, f"row {k} without an id of its own") for k in range(90)]
+    rows += [(7, "seven again"), (hot, "equal"), (hot, "equal")]
+    docs = fingerprints.inputs(documents(spark, rows)).cache()
+    cuts, _ = fingerprints._blocks(docs, 10, 1000)
+    sizes = docs.groupBy(fingerprints._own(cuts)[0].alias("own")).count().collect()
+    assert max(r["count"] for r in sizes) <= 30 and len(sizes) >= 10
+    ordered = docs.select("id", "text", F.xxhash64("text").alias("h")).collect()
+    ordered = [(r.id, r.text) for r in sorted(ordered, key=lambda r: (-r.id, r.h))]
+    wanted = [(*r, ordered[(k + 1) % len(ordered)][1]) for k, r in enumerate(ordered)]
+    found = fingerprints.with_next(docs, ["text"], 10, 1000).select("id", "text", "next_text").collect()
+    assert sorted(map(tuple, found)) == sorted(wanted)
+
+
 def test_fingerprints(spark, tmp_path, rows):
     found = QUERIES["op10_fingerprints"](spark, write(spark, tmp_path, rows)).collect()
     assert len(found) == len(rows)
