@@ -159,6 +159,25 @@ def write_search_days(log: DataFrame, root: str, mode: str = "error") -> str:
     return _name_days(log.sparkSession, root, "")
 
 
+def write_search_deliveries(log: DataFrame, root: str, **holds: Column) -> str:
+    """As `write_search_days`, in one pass over the log: below `root` a folder for each of `holds` with the rows it is true of.
+
+    The number of a day's files follows its size, not the number of tasks that make the log.
+    """
+    spark = log.sparkSession
+    names = F.array_compact(F.array(*[F.when(held, F.lit(name)) for name, held in holds.items()]))
+    rows = log.select("*", F.explode(names).alias("delivery")).withColumnRenamed("Date", "day")
+    rows.hint("rebalance", "delivery", "day").write.partitionBy("delivery", "day").parquet(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in DayFolder(spark, root).entries("delivery=*"):
+        plain = f"{root}/{name[len('delivery='):]}"
+        if not files.rename(path(f"{root}/{name}"), path(plain)):
+            raise OSError(f"cannot rename {root}/{name}")
+        _name_days(spark, plain, "")
+    return root
+
+
 def share_folder(spark: SparkSession) -> None:
     """Name a shared folder in a session of one machine that has none, for the life of the process."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

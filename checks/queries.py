@@ -256,9 +256,8 @@ def search_job_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `content_job_kept`, for searches."""
     folder, log = fixtures.raw_folder(spark, "kept_searches"), fixtures.search_log(spark, sf_dir)
     even, span = F.col("Date") % 2 == 0, (fixtures.SEARCH_START, fixtures.SEARCH_END)
-    early = log.filter(~even | (F.col("Date").isin("20220602", "20220612") & F.col("platform").isNotNull()))
-    fixtures.write_search_days(early, f"{folder}/early")
-    fixtures.write_search_days(log.filter(even), f"{folder}/late")
+    early = ~even | (F.col("Date").isin("20220602", "20220612") & F.col("platform").isNotNull())
+    fixtures.write_search_deliveries(log, folder, early=early, late=even)
     plans.search_job_kept(spark, f"{folder}/early", *span, f"{folder}/state", f"{folder}/first", fields=fixtures.SEARCH_FIELDS)
     return plans.search_job_kept(spark, f"{folder}/late", *span, f"{folder}/state", f"{folder}/second", fields=fixtures.SEARCH_FIELDS)
 

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixtures
 from couchlog import operators as ops
 from couchlog import plans, sources
 from couchlog.rules import VIEWS, ViewRules
@@ -91,6 +92,30 @@ def test_searches_taken_in_day_by_day(spark, tmp_path):
         assert rows_of(kept) == rows_of(plans.search_job(spark, logs, *span, f"{tmp_path}/whole"))
 
 
+def test_deliveries_are_written_in_one_pass(spark, tmp_path):
+    """A row may be of several deliveries or of none; a day's files do not grow with the tasks that make the log."""
+    rows = [(k, f"u{k % 5}", "x" if k % 3 else None, None, None, "a", [], f"2022060{1 + k % 4}") for k in range(400)] + [(0, "u", None, None, None, "a", None, "20220601")] * 2
+    log = spark.createDataFrame(rows, f"eventID bigint, {SEARCH}").repartition(16)
+    even, early = F.col("Date") % 2 == 0, (F.col("Date") % 2 == 1) | F.col("keyword").isNotNull()
+    root = fixtures.write_search_deliveries(log, f"{tmp_path}/logs", early=early, late=even, empty=F.lit(False))
+    assert not os.path.exists(f"{root}/empty")
+    for name, held, days in (("early", early, 4), ("late", even, 2)):
+        entries = sources.parquet_days(spark, f"{root}/{name}", "20220601", "20220604")
+        assert len(entries) == days
+        assert all(len([f for f in os.listdir(f"{root}/{name}/{day}") if f.endswith(".parquet")]) == 1 for day in entries)
+        read = sources.read_parquet_days(spark, f"{root}/{name}", "20220601", "20220604")
+        assert rows_of(read) == rows_of(log.filter(held))
+
+
+def test_what_is_multiplied_holds_no_plans(spark):
+    """The lists of plans are counted once per event, not once per kind of value; keywords and days are folded without copies."""
+    log = spark.createDataFrame([(1, "u1", "k", "enter", "tv", "a", ["p"], "20220601")], f"eventID bigint, {SEARCH}")
+    daily = ops.daily_searches(log)
+    expand = next(line for line in daily._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Expand" in line)
+    assert "userPlansMap" not in expand and "held" in expand
+    assert "Expand" not in ops.search_profile_from_daily(spark.createDataFrame(daily.collect(), daily.schema))._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lost_lines_are_told_by_day_and_file(spark, tmp_path):
     logs = f"{tmp_path}/logs"
     good = view("C1", "VOD", 1)
