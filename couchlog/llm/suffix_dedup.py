@@ -52,7 +52,10 @@ _BIT = [np.uint32(1 << k) for k in range(SIDE + 1)]
 
 
 def anchors(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Byte positions of a block's anchors, and the hash of the gram at each."""
+    """Byte positions of a block's anchors, and the hash of the gram at each.
+
+    Grams are chosen for a low hash, so it is mixed once more: parts are equal ranges of what is returned.
+    """
     at, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     n = len(block.data)
     for first in range(0, n - GRAM + 1, _PIECE):
@@ -65,7 +68,7 @@ def anchors(block: Block) -> tuple[np.ndarray, np.ndarray]:
         found, _ = minimizers(gram, inside, SIDE + 1)
         found = found[(found + low >= first) & (found + low < first + _PIECE)]
         at.append(found + low)
-        grams.append(gram[found])
+        grams.append(mix(gram[found]))
     return np.concatenate(at), np.concatenate(grams)
 
 

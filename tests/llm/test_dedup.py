@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from couchlog.llm import components, exchange, line_dedup, minhash_dedup, substring_dedup, suffix_dedup
+from couchlog.llm.blocks import Block, squeeze
 from tests.llm.tables import documents, odd_rows, write
 
 NO_ID = (1 << 63) - 1
@@ -168,6 +169,16 @@ def test_bytes_over_several_hops(spark, rows, fan):
     same(found.collect(), brute_windows(rows, 50, lambda t: list(t.encode()), bytes))
 
 
+def test_grams_are_spread_over_the_parts():
+    """Anchors have low hashes; each part still gets about as many of their grams."""
+    text = np.random.default_rng(5).integers(97, 123, 400_000, np.uint8)
+    block = Block(squeeze(np.array([1]), np.array([0, len(text)]), text))
+    at, gram = suffix_dedup.anchors(block)
+    assert len(at) > 30_000
+    sizes = np.diff(suffix_dedup._parts(np.sort(gram), 40))
+    assert sizes.max() < 1.3 * sizes.mean() and sizes.min() > 0.7 * sizes.mean()
+
+
 def test_every_hop_moves_rows_in_proportion_to_the_blocks(spark):
     """With eight times the blocks and the parts, a hop has at most eight times the rows, and each run meets its part."""
     fan = 4
